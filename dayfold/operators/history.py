@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.functions.columns import own_column
-from dayfold.operators.joins import left_join_on
 
 
 def min_max_by_key(
     df: DataFrame, key: str, value: str, low: str = "min_value", high: str = "max_value"
 ) -> DataFrame:
     """Smallest and largest value per key; text compares in text order."""
-    return df.groupBy(own_column(df, key)).agg(
+    return df.groupBy(own_column(df, key).alias(key)).agg(
         F.min(own_column(df, value)).alias(low), F.max(own_column(df, value)).alias(high)
     )
 
@@ -24,25 +23,42 @@ def first_last_state(df: DataFrame, id_col: str, time_col: str, state_col: str)
     Ties stay whole: k rows at the first time and m at the last give k * m rows. A NULL id, and an
     id whose times are all NULL, keep one row with NULL states, since NULL matches nothing.
 
-    Both joins are on (id, time), so an id with very many changes spreads over the partitions, and
-    the second one reads the exchange of the first.
+    The result is that of two left joins from the times of each id to the changes. Only the NULL
+    cases can miss there, so they are given one row of NULLs to match, and the joins become inner
+    ones. Those Spark can split on either side where very many changes share an id and a time,
+    which it cannot do on the right of a left join. Both joins read one exchange of the changes.
     """
     changes = df.select(
         own_column(df, id_col).alias("id"),
         own_column(df, time_col).alias("time"),
         own_column(df, state_col).alias("state"),
     )
-    span = min_max_by_key(changes, "id", "time", "start_time", "end_time").alias("t1")
-    started = left_join_on(
-        span, changes.alias("t2"), [("t1.id", "t2.id"), ("t1.start_time", "t2.time")]
+    id_known, time_known = F.col("id").isNotNull(), F.col("start_time").isNotNull()
+    span = min_max_by_key(changes, "id", "time", "start_time", "end_time").select(
+        "*",
+        F.when(time_known, F.col("id")).alias("match_id"),
+        F.when(id_known, F.col("start_time")).alias("match_start"),
+        F.when(id_known, F.col("end_time")).alias("match_end"),
     )
-    both = left_join_on(
-        started, changes.alias("t3"), [("t1.id", "t3.id"), ("t1.end_time", "t3.time")]
+    nothing = df.sparkSession.range(0, 1, 1, 1).select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in changes.schema)
     )
-    return both.select(
-        F.col("t1.id").alias(id_col),
-        F.col("t1.start_time").alias("start_time"),
-        F.col("t2.state").alias("start_state"),
-        F.col("t1.end_time").alias("end_time"),
-        F.col("t3.state").alias("end_state"),
+    held = changes.where("id IS NOT NULL AND time IS NOT NULL").unionByName(nothing)
+
+    def at(side: str, match_time: str):
+        return F.col("t1.match_id").eqNullSafe(F.col(f"{side}.id")) & F.col(
+            match_time
+        ).eqNullSafe(F.col(f"{side}.time"))
+
+    return (
+        span.alias("t1")
+        .join(held.alias("t2"), at("t2", "t1.match_start"))
+        .join(held.alias("t3"), at("t3", "t1.match_end"))
+        .select(
+            F.col("t1.id").alias(id_col),
+            F.col("t1.start_time").alias("start_time"),
+            F.col("t2.state").alias("start_state"),
+            F.col("t1.end_time").alias("end_time"),
+            F.col("t3.state").alias("end_state"),
+        )
     )

@@ -11,12 +11,24 @@ from pyspark.sql import functions as F
 
 
 def left_join_on(
-    left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]]
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[tuple[str, str]],
+    hot_right: bool = False,
 ) -> DataFrame:
     """Left outer join on pairs of (left column, right column).
 
     Every left row stays, once per match and once with NULLs where nothing matches. No side is
     marked for broadcast: Spark picks it from the sizes it knows, and sort-merge otherwise.
+
+    Spark splits a hot key on the left of such a join, but not on the right. Say ``hot_right``
+    where one key may hold a large part of the right side: matches and misses are then found by
+    two joins, an inner one, which splits on both sides, and an anti join against the distinct
+    right keys. This reads both inputs twice, and needs column names that differ.
     """
     condition = reduce(and_, (F.col(mine) == F.col(theirs) for mine, theirs in keys))
-    return left.join(right, condition, "left")
+    if not hot_right:
+        return left.join(right, condition, "left")
+    right_keys = right.select(*(F.col(theirs) for _, theirs in keys)).distinct()
+    misses = left.join(right_keys, condition, "left_anti")
+    return left.join(right, condition, "inner").unionByName(misses, allowMissingColumns=True)

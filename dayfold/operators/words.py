@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayfold.functions.columns import own_column
@@ -68,61 +68,83 @@ def split_words_dict(
         F.collect_set(F.length("word")).alias("lengths"),
     ).first()
     lengths = sorted(facts.lengths) or [1]
-    longest = lengths[-1]
     words_fit = (facts.bytes or 0) + facts.words * ROW_OVERHEAD <= broadcast_limit
     heads_fit = facts.heads * (ROW_OVERHEAD + 8 * len(lengths)) <= broadcast_limit
 
-    kept = [own_column(df, k).alias(k) for k in keep]
-    places = _places(df, text, kept, list(keep), longest)
-    here = [*keep, "_block_no", "_block", "_at"]
+    places = _places(df, text, list(keep), longest=lengths[-1])
     if heads_fit:
         heads = words.groupBy(head.alias("_head")).agg(
             F.collect_set(F.length("word")).alias("_lengths")
         )
-        head_lengths = sorted({min(n, HEAD) for n in lengths})
-        probes = (
-            _pieces(places, here, F.array(*map(F.lit, head_lengths)), "_head")
-            .join(F.broadcast(heads), "_head")
-        )
-        pieces = _pieces(probes, here, F.col("_lengths"), "word")
+        head_lengths = _fixed({min(n, HEAD) for n in lengths})
+        starts = _pieces(places, [*keep, "position", "_rest"], head_lengths)
+        places = _broadcast_lookup(starts, heads, "_head")
+        found = _pieces(places, [*keep, "position"], F.col("_lengths"))
     else:
-        pieces = _pieces(places, here, F.array(*map(F.lit, lengths)), "word")
+        found = _pieces(places, [*keep, "position"], _fixed(lengths))
 
-    block = max(BLOCK, longest)
-    position = F.col("_block_no").cast("bigint") * block + F.col("_at")
-    found = pieces.select(*keep, position.alias("position"), "word")
     if words_fit:
-        matched = found.join(F.broadcast(words), "word")
+        matched = _broadcast_lookup(found, words, "word")
     else:
         salt = F.pmod(F.xxhash64(*keep, "position"), F.lit(salts)).cast("int")
         copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        matched = found.withColumn("_salt", salt).join(
+        matched = found.withColumnRenamed("_piece", "word").withColumn("_salt", salt).join(
             words.withColumn("_salt", copies), ["word", "_salt"]
         )
     return matched.select(*keep, "position", "word")
 
 
-def _places(df: DataFrame, text: str, kept: list, keep: list[str], longest: int) -> DataFrame:
-    """One row per character of a text, with the block around it.
+def _places(df: DataFrame, text: str, keep: list[str], longest: int) -> DataFrame:
+    """One row per character of a text, with ``_rest``, the text from there on as far as the
+    longest word reaches.
 
-    A block reaches over into the next by the longest word. Taking pieces out of a block costs the
-    same anywhere in a text, where taking them out of the text would cost more toward its end.
+    Texts are cut into blocks first, each reaching over into the next, because taking a piece out
+    of a whole text costs more the further down it lies.
     """
     block = max(BLOCK, longest)
     pattern = f"(?s)(?=(.{{1,{block + longest - 1}}})).{{1,{block}}}"
     blocks = F.regexp_extract_all(own_column(df, text), F.lit(pattern), F.lit(1))
-    starts = F.sequence(F.lit(1), F.least(F.lit(block), F.length("_block")))
-    return df.select(*kept, F.posexplode(blocks).alias("_block_no", "_block")).select(
-        *keep, "_block_no", "_block", F.explode(starts).alias("_at")
+    steps = F.sequence(F.lit(1), F.least(F.lit(block), F.length("_block")))
+    return (
+        df.select(
+            *(own_column(df, k).alias(k) for k in keep),
+            F.posexplode(blocks).alias("_block_no", "_block"),
+        )
+        .select(*keep, "_block_no", "_block", F.explode(steps).alias("_at"))
+        .select(
+            *keep,
+            (F.col("_block_no").cast("bigint") * block + F.col("_at")).alias("position"),
+            F.substring("_block", F.col("_at"), F.lit(longest)).alias("_rest"),
+        )
     )
 
 
-def _pieces(places: DataFrame, here: list[str], lengths, name: str) -> DataFrame:
-    """The pieces of the given lengths that start at each place and end inside the text."""
+def _fixed(numbers: Iterable[int]) -> Column:
+    return F.array(*(F.lit(n) for n in sorted(numbers)))
+
+
+def _pieces(places: DataFrame, here: list[str], lengths: Column) -> DataFrame:
+    """``_piece``, of each of the lengths, from the start of ``_rest``, where there is as much."""
+    return (
+        places.withColumn("_n", F.explode(lengths))
+        .where(F.col("_n") <= F.length("_rest"))
+        .select(*here, F.left("_rest", F.col("_n")).alias("_piece"))
+    )
+
+
+def _broadcast_lookup(pieces: DataFrame, table: DataFrame, name: str) -> DataFrame:
+    """Inner join of ``_piece`` with the text column ``name`` of a table that fits in memory.
+
+    A lookup by a hash in a long costs a fraction of one by text, and every piece of every text is
+    looked up. The texts are compared after it, as a range from ``name`` to ``name``: a plain
+    equality would become the key of the join.
+    """
+    hashed = table.withColumn("_hash", F.xxhash64(name))
     return (
-        places.select(*here, F.explode(lengths).alias("_n"))
-        .where(F.col("_at") + F.col("_n") - 1 <= F.length("_block"))
-        .select(*here, F.substring("_block", F.col("_at"), F.col("_n")).alias(name))
+        pieces.withColumn("_hash", F.xxhash64("_piece"))
+        .join(F.broadcast(hashed), "_hash")
+        .where(F.col("_piece").between(F.col(name), F.col(name)))
+        .drop("_hash", "_piece")
     )
 
 

@@ -137,6 +137,9 @@ RANGE = (
     "WHERE CAST(o_orderdate AS DATE) BETWEEN CAST(DATE '1997-03-15' - 3 AS DATE) "
     "AND DATE '1997-03-15'"
 )
+LEFT_JOIN = """
+        SELECT o_orderkey, o_orderdate, l_orderkey, l_shipdate, l_quantity
+        FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey AND o_orderdate = l_shipdate"""
 EVENT_DAY = "WHERE CAST(ts AS DATE) = DATE '2024-01-16'"
 PAPER = ("s_suppkey", "s_name", "paper_id", "paper_title")
 COURSE = ("n_nationkey", "n_name", "course_id", "course_name")
@@ -194,9 +197,8 @@ ORACLES: dict[str, str] = {
     "filter_date_between": f"""
         SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date, o_totalprice
         FROM orders {RANGE}""",
-    "left_join_two_keys": """
-        SELECT o_orderkey, o_orderdate, l_orderkey, l_shipdate, l_quantity
-        FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey AND o_orderdate = l_shipdate""",
+    "left_join_two_keys": LEFT_JOIN,
+    "left_join_two_keys_hot": LEFT_JOIN,
     "min_max_by_key": """
         SELECT o_custkey, MIN(CAST(CAST(o_orderdate AS DATE) AS VARCHAR)) AS start_time,
                MAX(CAST(CAST(o_orderdate AS DATE) AS VARCHAR)) AS end_time

@@ -109,12 +109,14 @@ def filter_date_between(spark: SparkSession, folder: str) -> DataFrame:
     return date_range(orders, "order_date", RANGE_END, 3)
 
 
-def left_join_two_keys(spark: SparkSession, folder: str) -> DataFrame:
+def left_join_two_keys(
+    spark: SparkSession, folder: str, hot_right: bool = False
+) -> DataFrame:
     """Each order with its lines that were shipped on the day of the order, if any."""
     orders = load(spark, folder, "orders").select("o_orderkey", "o_orderdate")
     lines = load(spark, folder, "lineitem").select("l_orderkey", "l_shipdate", "l_quantity")
     keys = [("o_orderkey", "l_orderkey"), ("o_orderdate", "l_shipdate")]
-    return left_join_on(orders, lines, keys)
+    return left_join_on(orders, lines, keys, hot_right)
 
 
 def min_max_of_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -213,6 +215,7 @@ QUERIES: dict[str, Query] = {
     "table_roundtrip": table_roundtrip,
     "filter_date_between": filter_date_between,
     "left_join_two_keys": left_join_two_keys,
+    "left_join_two_keys_hot": lambda s, d: left_join_two_keys(s, d, hot_right=True),
     "min_max_by_key": min_max_of_text,
     "ratio_of_sums": ratio_of_sums,
     "cast_decimal_ratio": cast_decimal_ratio,
