@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dayfold.operators.spread import spread
 from dayfold.plans import rollups
 from dayfold.sources.tables import load
 
@@ -36,6 +37,10 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "events").withColumn("dt", F.to_date("ts"))
 
 
+def documents(spark: SparkSession, folder: str, key: str) -> DataFrame:
+    return spread(load(spark, folder, "documents").select(key, "text"))
+
+
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "orders").select(
         _day("o_orderdate"),
@@ -78,7 +83,7 @@ def _parts(spark: SparkSession, folder: str, key: str, name: str) -> DataFrame:
 
 def keyword_rollup(spark: SparkSession, folder: str) -> DataFrame:
     """Texts carry no time; their source serves as the window."""
-    return rollups.keyword_window(load(spark, folder, "documents"), "text", window="source")
+    return rollups.keyword_window(documents(spark, folder, "source"), "text", window="source")
 
 
 def funnel_rollup(spark: SparkSession, folder: str) -> DataFrame:

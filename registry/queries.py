@@ -167,7 +167,7 @@ def additive_users(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_words(spark: SparkSession, folder: str) -> DataFrame:
-    return split_words(load(spark, folder, "documents"), "text", keep=["doc_id"])
+    return split_words(stand_ins.documents(spark, folder, "doc_id"), "text", keep=["doc_id"])
 
 
 def part_name_words(spark: SparkSession, folder: str) -> DataFrame:
@@ -183,9 +183,8 @@ def document_dictionary_words(spark: SparkSession, folder: str) -> DataFrame:
     dictionary = load(spark, folder, "benchmark").select(
         F.explode(words_of(F.col("text"))).alias("word")
     )
-    found = split_words_dict(
-        load(spark, folder, "documents"), "text", dictionary, keep=["doc_id"]
-    )
+    documents = stand_ins.documents(spark, folder, "doc_id")
+    found = split_words_dict(documents, "text", dictionary, keep=["doc_id"])
     return found.groupBy("word").agg(F.count("*").alias("places"))
 
 
@@ -194,7 +193,7 @@ def sql_split_words(spark: SparkSession, folder: str) -> DataFrame:
     register_split_words(spark, "dayfold_words")
     found = spark.sql(
         "SELECT d.doc_id, w.keyword FROM {documents} AS d, LATERAL dayfold_words(d.text) AS w",
-        documents=load(spark, folder, "documents"),
+        documents=stand_ins.documents(spark, folder, "doc_id"),
     )
     drop_split_words(spark, "dayfold_words", missing_ok=False)
     return found
