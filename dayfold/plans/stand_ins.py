@@ -13,9 +13,10 @@ answer         ``lineitem``: question = part, user = the order's customer,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dayfold.operators.slices import day_slice
 from dayfold.operators.spread import spread
 from dayfold.plans import rollups
 from dayfold.sources.tables import load
@@ -29,34 +30,41 @@ STEPS = {
 }
 
 
-def _day(column: str):
+def _on(frame: DataFrame, day: str | None) -> DataFrame:
+    """The rows of one day, taken before any rollup; all rows without a day."""
+    return day_slice(frame, day) if day else frame
+
+
+def _date(column: str) -> Column:
     return F.to_date(column).alias("dt")
 
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "events").withColumn("dt", F.to_date("ts"))
+def events(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
+    return _on(load(spark, folder, "events").withColumn("dt", F.to_date("ts")), day)
 
 
 def documents(spark: SparkSession, folder: str, key: str) -> DataFrame:
     return spread(load(spark, folder, "documents").select(key, "text"))
 
 
-def orders(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "orders").select(
-        _day("o_orderdate"),
+def orders(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
+    placed = load(spark, folder, "orders").select(
+        _date("o_orderdate"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_totalprice").alias("amount"),
     )
+    return _on(placed, day)
 
 
-def views(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "lineitem").select(
-        _day("l_shipdate"),
+def views(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
+    lines = load(spark, folder, "lineitem").select(
+        _date("l_shipdate"),
         F.col("l_suppkey").alias("paper_id"),
         F.col("l_orderkey").alias("user_id"),
         F.col("l_quantity").cast("bigint").alias("score"),
         F.col("l_orderkey").alias("duration_sec"),
     )
+    return _on(lines, day)
 
 
 def papers(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,53 +94,51 @@ def keyword_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.keyword_window(documents(spark, folder, "source"), "text", window="source")
 
 
-def funnel_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    return rollups.funnel_window(events(spark, folder), STEPS)
+def funnel_rollup(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
+    return rollups.funnel_window(events(spark, folder, day), STEPS)
 
 
-def review_rollup(spark: SparkSession, folder: str) -> DataFrame:
+def review_rollup(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
     reviews = load(spark, folder, "lineitem").select(
-        _day("l_shipdate"),
+        _date("l_shipdate"),
         F.col("l_partkey").alias("course_id"),
         (F.col("l_orderkey") % 5 + 1).alias("stars"),
     )
-    return rollups.review_window(reviews, _parts(spark, folder, "course_id", "course_name"))
+    courses = _parts(spark, folder, "course_id", "course_name")
+    return rollups.review_window(_on(reviews, day), courses)
 
 
-def region_trade_rollup(spark: SparkSession, folder: str) -> DataFrame:
+def region_trade_rollup(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
     users = load(spark, folder, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("region_id")
     )
     regions = load(spark, folder, "nation").select(
         F.col("n_nationkey").alias("region_id"), F.col("n_name").alias("province_name")
     )
-    return rollups.region_trade_window(orders(spark, folder), users, regions)
+    return rollups.region_trade_window(orders(spark, folder, day), users, regions)
 
 
 def daily_trade_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.daily_trade_window(orders(spark, folder))
 
 
-def exam_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    return rollups.exam_window(views(spark, folder), papers(spark, folder))
+def exam_rollup(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
+    return rollups.exam_window(views(spark, folder, day), papers(spark, folder))
 
 
-def score_range_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    return rollups.score_range_window(views(spark, folder), papers(spark, folder))
+def score_range_rollup(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
+    return rollups.score_range_window(views(spark, folder, day), papers(spark, folder))
 
 
-def answer_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    takers = load(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user_id")
+def answer_rollup(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
+    lines = load(spark, folder, "lineitem").select(
+        _date("l_shipdate"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("question_id"),
+        (F.col("l_returnflag") == "N").alias("correct"),
     )
-    answers = (
-        load(spark, folder, "lineitem")
-        .join(takers, "l_orderkey")
-        .select(
-            _day("l_shipdate"),
-            F.col("l_partkey").alias("question_id"),
-            "user_id",
-            (F.col("l_returnflag") == "N").alias("correct"),
-        )
+    takers = load(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id")
     )
+    answers = _on(lines, day).join(takers, "order_id")
     return rollups.answer_window(answers, _parts(spark, folder, "question_id", "question_txt"))

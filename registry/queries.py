@@ -1,7 +1,7 @@
 """Every query over the sample tables, by name: ``(spark, folder) -> DataFrame``.
 
-A report runs over all days of its rollup; the same report under ``<name>_day`` (``_range`` for
-dates) runs over a slice of it, as the daily report does.
+A report runs over all days of its rollup; the same report under ``<name>_day`` runs over one day,
+as the daily report does, and under ``<name>_range`` over a range of dates.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ def _report_queries() -> dict[str, Query]:
         found[name] = lambda s, d, report=report, rollup=rollup: report(rollup(s, d))
         if day:
             found[f"{name}_day"] = lambda s, d, report=report, rollup=rollup, day=day: report(
-                day_slice(rollup(s, d), day)
+                rollup(s, d, day)
             )
     return found
 
