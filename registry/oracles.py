@@ -148,6 +148,7 @@ ORACLES: dict[str, str] = {
     "keyword_totals": f"SELECT keyword, COUNT(*) AS keyword_count FROM ({DOCUMENT_WORDS}) GROUP BY 1",
     "funnel_totals": _funnel(""),
     "funnel_totals_day": _funnel(EVENT_DAY),
+    "funnel_totals_stored": _funnel(EVENT_DAY),
     "review_scores": _review(""),
     "review_scores_day": _review(SHIPPED),
     "totals_by_region": _region(""),

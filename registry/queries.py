@@ -23,6 +23,7 @@ from dayfold.operators.words import (
     split_words_dict,
 )
 from dayfold.plans import reports, rollups, stand_ins
+from dayfold.plans.stored import store, stored_report
 from dayfold.session import fresh_folder
 from dayfold.sources import tables
 from dayfold.sources.tables import load
@@ -80,12 +81,24 @@ def partition_scan(spark: SparkSession, folder: str) -> DataFrame:
     return day_slice(tables.read_by_day(spark, path, rows.schema), EVENT_DAY)
 
 
-def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Drop, create, append a frame, append one row, append many rows, read back."""
+def _fresh_database(spark: SparkSession) -> str:
     location = fresh_folder(spark, "tables")
     database = "dayfold_" + location.rsplit("-", 1)[-1]
     tables.create_database(spark, database, location)
-    name = f"{database}.changes"
+    return database
+
+
+def funnel_totals_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The funnel rollup of all days stored by day, then the report of one day."""
+    database = _fresh_database(spark)
+    tables.create_rollup_tables(spark, database)
+    store(stand_ins.funnel_rollup(spark, folder), database, "funnel")
+    return stored_report(spark, database, "funnel_totals", EVENT_DAY)
+
+
+def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Drop, create, append a frame, append one row, append many rows, read back."""
+    name = f"{_fresh_database(spark)}.changes"
     tables.drop_table(spark, name)
     for _ in range(2):
         tables.create_table(spark, name, "id bigint, add_time varchar(20), state string")
@@ -211,6 +224,7 @@ QUERIES: dict[str, Query] = {
     "scan_all": scan_all,
     "scan_pruned": scan_pruned,
     "partition_scan": partition_scan,
+    "funnel_totals_stored": funnel_totals_stored,
     "table_roundtrip": table_roundtrip,
     "filter_date_between": filter_date_between,
     "left_join_two_keys": left_join_two_keys,

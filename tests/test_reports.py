@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 
 from dayfold.operators.slices import day_slice
 from dayfold.plans import reports, rollups, stand_ins
+from dayfold.plans import stored as stored_module
+from dayfold.session import fresh_folder
+from dayfold.sources import tables
 from dayfold.sources.schemas import ROLLUP_SCHEMAS
 
 D1, D2 = dt.date(2024, 11, 15), dt.date(2024, 11, 16)
@@ -234,3 +237,43 @@ def test_users_are_additive_not_distinct(spark, sf_dir):
     events = stand_ins.events(spark, sf_dir)
     summed = rollups.users_window(events, ["dt"], "user_id").agg(F.sum("uv")).first()[0]
     assert summed > events.agg(F.countDistinct("user_id")).first()[0]
+
+
+STORED_ROWS = {
+    "keyword": ("w", 2),
+    "funnel": (1, 2, 3, 4, 5),
+    "review": (1, "x", 9, 2, 1),
+    "region_trade": ("p", Decimal("1.10"), 1, 2),
+    "exam": (1, "p1", 7, "c", 2, 2, 2, 150, 27),
+    "score_range": (1, "p1", "1-10", 3),
+    "answer": (1, "q", 1, 4, 1, 2),
+}
+
+
+def test_every_report_over_stored_tables(spark):
+    location = fresh_folder(spark, "stored")
+    database = "stored_" + location.rsplit("-", 1)[-1]
+    tables.create_database(spark, database, location)
+    tables.create_rollup_tables(spark, database)
+    days = [D1, D1, D2, D2 + dt.timedelta(days=1)]
+    for table, row in STORED_ROWS.items():
+        stored_module.store(stored(spark, table, [(*row, d) for d in days]), database, table)
+    trade = [(d, Decimal("2.00"), 1, 1) for d in days]
+    stored_module.store(stored(spark, "daily_trade", trade), database, "daily_trade")
+
+    for name, (table, _, report) in stored_module.STORED_REPORTS.items():
+        rows = [(d, *trade[0][1:]) for d in days] if table == "daily_trade" else [
+            (*STORED_ROWS[table], d) for d in days
+        ]
+        for picked, day, before in (
+            (rows, None, 0),
+            (rows[:2], "par20241115", 0),
+            (rows[2:3], D2, 0),
+            (rows[:3], D2, 3),
+            ([], "2024-11-14", 0),
+        ):
+            found = stored_module.stored_report(spark, database, name, day, before)
+            assert rows_of(found) == rows_of(report(stored(spark, table, picked))), (name, day)
+            if day and table != "daily_trade":
+                assert "PartitionFilters: [isnotnull(dt" in plan_of(found)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
