@@ -13,6 +13,8 @@ from dayfold.functions.columns import own_column
 
 def as_day(day: str | dt.date) -> dt.date:
     """A date from a date, ``2024-11-16``, or a partition name that ends in ``20241116``."""
+    if isinstance(day, dt.datetime):
+        return day.date()
     if isinstance(day, dt.date):
         return day
     found = re.search(r"(\d{4})-?(\d{2})-?(\d{2})$", day)
@@ -26,10 +28,10 @@ def day_slice(
 ) -> DataFrame:
     """The rows of one day. Prunes to one directory where ``df`` is stored by that column.
 
-    A day that holds no rows gives an empty frame; ``strict`` raises for it instead, at the
+    The column may be a date, a timestamp or text that holds a date. A day that holds no rows gives an empty frame; ``strict`` raises for it instead, at the
     price of one small job.
     """
-    sliced = df.where(own_column(df, column) == F.lit(as_day(day)))
+    sliced = df.where(own_column(df, column).cast("date") == F.lit(as_day(day)))
     if strict and sliced.isEmpty():
         raise ValueError(f"no rows for {as_day(day)} in column {column!r}")
     return sliced
@@ -38,4 +40,5 @@ def day_slice(
 def date_range(df: DataFrame, column: str, end: str | dt.date, days_before: int) -> DataFrame:
     """The rows from ``days_before`` days before ``end`` up to ``end``, both days included."""
     last = F.lit(as_day(end))
-    return df.where(own_column(df, column).between(F.date_sub(last, days_before), last))
+    date = own_column(df, column).cast("date")
+    return df.where(date.between(F.date_sub(last, days_before), last))

@@ -131,7 +131,8 @@ def score_range_window(views: DataFrame, papers: DataFrame, width: int = 10) ->
     counts = ranged.groupBy("dt", "paper_id", "score_low").agg(
         F.countDistinct("user_id").alias("uv")
     )
-    label = F.concat_ws("-", F.col("score_low"), F.col("score_low") + (width - 1))
+    ends = F.col("score_low").cast("string"), (F.col("score_low") + (width - 1)).cast("string")
+    label = F.concat(ends[0], F.lit("-"), ends[1])
     return counts.join(papers, "paper_id").select(
         "dt", "paper_id", "paper_title", label.alias("score_range"), "uv"
     )

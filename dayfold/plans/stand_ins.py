@@ -94,6 +94,11 @@ def keyword_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.keyword_window(documents(spark, folder, "source"), "text", window="source")
 
 
+def search_rollup(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
+    """Words per day: the type of an event is the text."""
+    return rollups.keyword_window(events(spark, folder, day), "event_type", window="dt")
+
+
 def funnel_rollup(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
     return rollups.funnel_window(events(spark, folder, day), STEPS)
 

@@ -60,6 +60,10 @@ def _report_queries() -> dict[str, Query]:
     return found
 
 
+def keyword_totals_day(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.keyword_totals(stand_ins.search_rollup(spark, folder, EVENT_DAY))
+
+
 def totals_by_date_range(spark: SparkSession, folder: str) -> DataFrame:
     rollup = stand_ins.daily_trade_rollup(spark, folder)
     return reports.totals_by_date(date_range(rollup, "current_date", RANGE_END, 3))
@@ -214,6 +218,7 @@ def sql_split_words(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     **_report_queries(),
+    "keyword_totals_day": keyword_totals_day,
     "totals_by_date_range": totals_by_date_range,
     "first_last_state": order_states,
     "first_last_state_events": event_states,

@@ -33,6 +33,7 @@ def test_the_day_reaches_every_large_scan(spark, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     table, column = {
         "funnel_totals_day": ("events", "ts"),
+        "keyword_totals_day": ("events", "ts"),
         "totals_by_region_day": ("orders", "o_orderdate"),
     }.get(name, ("lineitem", "l_shipdate"))
     scans = [s for s in plan_of(df).splitlines() if "FileScan" in s]

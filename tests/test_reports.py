@@ -200,11 +200,16 @@ def test_answer_users_against_brute_force(spark, seed):
 
 
 def test_score_ranges(spark):
-    views = [(D1, 1, u, s, 0) for u, s in ((1, 1), (2, 10), (3, 11), (3, 12), (4, 50))]
+    views = [(D1, 1, u, s, 0) for u, s in ((1, 1), (2, 10), (3, 11), (3, 12), (4, 50), (5, None))]
     rollup = rollups.score_range_window(
         spark.createDataFrame(views, VIEW), spark.createDataFrame(PAPERS, PAPER)
     )
-    assert rows_of(rollup.select("score_range", "uv")) == [("1-10", 2), ("11-20", 1), ("41-50", 1)]
+    assert rows_of(rollup.select("score_range", "uv")) == [
+        (None, 1),
+        ("1-10", 2),
+        ("11-20", 1),
+        ("41-50", 1),
+    ]
 
 
 @pytest.mark.parametrize(

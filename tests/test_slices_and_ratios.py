@@ -23,7 +23,8 @@ def days(spark):
 
 
 @pytest.mark.parametrize(
-    "name", ["2024-11-16", "20241116", "par20241116", dt.date(2024, 11, 16)]
+    "name",
+    ["2024-11-16", "20241116", "par20241116", dt.date(2024, 11, 16), dt.datetime(2024, 11, 16, 5)],
 )
 def test_names_of_a_day(name):
     assert as_day(name) == dt.date(2024, 11, 16)
@@ -50,6 +51,15 @@ def test_date_range_holds_both_ends(days):
     assert sorted(r.n for r in date_range(days, "dt", "2024-11-17", 3).collect()) == [14, 16, 17]
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "string"])
+def test_a_day_of_timestamps_or_text_is_the_whole_day(spark, kind):
+    times = ["2024-11-15 23:59:59", "2024-11-16 00:00:00", "2024-11-16 23:59:59", "2024-11-17 00:00:00"]
+    df = spark.createDataFrame([(t,) for t in times], "t string")
+    df = df.select(F.col("t"), F.col("t").cast(kind).alias("at"))
+    assert rows_of(day_slice(df, "20241116", "at").select("t")) == [(times[1],), (times[2],)]
+    assert rows_of(date_range(df, "at", "20241116", 1).select("t")) == [(t,) for t in times[:3]]
+
+
 def test_range_on_text_dates_reads_them_as_dates(spark):
     df = spark.createDataFrame([("2024-11-14",), ("2024-11-13",)], "d string")
     assert rows_of(date_range(df, "d", "2024-11-17", 3)) == [("2024-11-14",)]
