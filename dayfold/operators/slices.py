@@ -28,8 +28,8 @@ def day_slice(
 ) -> DataFrame:
     """The rows of one day. Prunes to one directory where ``df`` is stored by that column.
 
-    The column may be a date, a timestamp or text that holds a date. A day that holds no rows gives an empty frame; ``strict`` raises for it instead, at the
-    price of one small job.
+    The column may be a date, a timestamp or text that holds a date. A day that holds no rows gives
+    an empty frame; ``strict`` raises for it instead, at the price of one small job.
     """
     sliced = df.where(own_column(df, column).cast("date") == F.lit(as_day(day)))
     if strict and sliced.isEmpty():

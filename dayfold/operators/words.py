@@ -50,7 +50,8 @@ def split_words_dict(
     case counts. Each place is first looked up by the head of a word, which says what lengths can
     follow there, and then by the whole word.
 
-    One small job measures the dictionary first. Word heads and words are broadcast only within
+    One small job measures the dictionary first, so the dictionary is read more than once; write it
+    to a table if it takes long to derive. Word heads and words are broadcast only within
     ``broadcast_limit`` bytes. Without the heads every length is tried. Beyond the limit the words
     are joined by a shuffle, each word in ``salts`` copies, so that a word which is most of the
     text spreads over as many partitions.

@@ -145,7 +145,8 @@ PAPER = ("s_suppkey", "s_name", "paper_id", "paper_title")
 COURSE = ("n_nationkey", "n_name", "course_id", "course_name")
 
 ORACLES: dict[str, str] = {
-    "keyword_totals": f"SELECT keyword, COUNT(*) AS keyword_count FROM ({DOCUMENT_WORDS}) GROUP BY 1",
+    "keyword_totals": f"""
+        SELECT keyword, COUNT(*) AS keyword_count FROM ({DOCUMENT_WORDS}) GROUP BY 1""",
     "keyword_totals_day": f"""
         SELECT LOWER(event_type) AS keyword, COUNT(*) AS keyword_count
         FROM events {EVENT_DAY} GROUP BY 1""",

@@ -62,7 +62,10 @@ def test_nine_changes(spark):
 @pytest.mark.parametrize(
     "rows, expected",
     [
-        ([(1, "d1", 1), (1, "d1", 2), (1, "d3", 3)], [(1, "d1", 1, "d3", 3), (1, "d1", 2, "d3", 3)]),
+        (
+            [(1, "d1", 1), (1, "d1", 2), (1, "d3", 3)],
+            [(1, "d1", 1, "d3", 3), (1, "d1", 2, "d3", 3)],
+        ),
         ([(5, "d1", 4)], [(5, "d1", 4, "d1", 4)]),
         ([(None, "d1", 9)], [(None, "d1", None, "d1", None)]),
         ([(2, None, 7)], [(2, None, None, None, None)]),

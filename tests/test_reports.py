@@ -188,7 +188,9 @@ def test_answer_users_against_brute_force(spark, seed):
         for _ in range(40)
     ]
     rollup = rollups.answer_window(
-        spark.createDataFrame(answers, "dt date, question_id bigint, user_id bigint, correct boolean"),
+        spark.createDataFrame(
+            answers, "dt date, question_id bigint, user_id bigint, correct boolean"
+        ),
         spark.createDataFrame([(1, "q"), (2, "r")], "question_id bigint, question_txt string"),
     )
     for r in rollup.collect():

@@ -58,7 +58,9 @@ def test_a_hot_paper(spark, large):
 def test_a_hot_user(spark, large):
     """A user without limits on orders is one row per day when the users are joined on."""
     orders = hot(spark, "user_id").select("dt", "user_id", F.lit(1.5).alias("amount"))
-    users = spark.range(500).select(F.col("id").alias("user_id"), (F.col("id") % 2).alias("region_id"))
+    users = spark.range(500).select(
+        F.col("id").alias("user_id"), (F.col("id") % 2).alias("region_id")
+    )
     regions = spark.createDataFrame([(0, "p"), (1, "q")], "region_id int, province_name string")
     found = reports.totals_by_region(rollups.region_trade_window(orders, users, regions))
     assert [(r[0], r[2], r[3]) for r in rows_of(found)] == [("p", 250, 40_000), ("q", 250, 20_000)]
@@ -82,7 +84,9 @@ def test_hot_copies_of_a_text(spark):
     """A third of the texts are the same: their words are counted before they move."""
     texts = hot(spark, "source").select(
         "source",
-        F.when(F.col("source") == 0, "same words").otherwise(F.concat_ws(" ", "id", "id")).alias("t"),
+        F.when(F.col("source") == 0, "same words")
+        .otherwise(F.concat_ws(" ", "id", "id"))
+        .alias("t"),
     )
     rollup = rollups.keyword_window(texts, "t", window="source")
     plan = plan_of(rollup)

@@ -67,7 +67,9 @@ def test_sql_function(spark, texts):
 
 def test_sql_function_with_quotes_in_the_pattern(spark):
     register_split_words(spark, "cut_quoted", pattern=r"[a-z']+|\d+")
-    found = spark.sql("SELECT keyword FROM VALUES ('It''s 12 o''clock') AS t(x), LATERAL cut_quoted(x)")
+    found = spark.sql(
+        "SELECT keyword FROM VALUES ('It''s 12 o''clock') AS t(x), LATERAL cut_quoted(x)"
+    )
     assert [r.keyword for r in found.collect()] == ["it's", "12", "o'clock"]
     drop_split_words(spark, "cut_quoted")
 
@@ -99,11 +101,13 @@ def test_dictionary_against_brute_force(spark, settings, seed, limit):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     pick = random.Random(seed)
     letters = "ab纸é😀 \n"
-    texts = [(k, "".join(pick.choices(letters, k=pick.choice([0, 1, 5, 64, 65, 300])))) for k in range(12)]
+    sizes = [0, 1, 5, 64, 65, 300] * 2
+    texts = [(k, "".join(pick.choices(letters, k=n))) for k, n in enumerate(sizes)]
     texts += [(90, None), (91, "a" * 400)]
     long_text = max((t for _, t in texts if t), key=len)
     words = ["".join(pick.choices(letters, k=n)) for n in (1, 1, 2, 2, 3, 3, 4, 5, 6)]
-    words += ["a", "", "aa", "a" * 70, long_text[30:130], "a", "".join(pick.choices(letters, k=3000))]
+    words += ["a", "", "aa", "a" * 70, long_text[30:130], "a"]
+    words += ["".join(pick.choices(letters, k=3000))]
     many = [f"qqq{n}" for n in range(400)]
     found = split_words_dict(
         spark.createDataFrame(texts, "id bigint, text string"),
