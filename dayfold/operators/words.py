@@ -12,8 +12,8 @@ from dayfold.functions.words import WORD_PATTERN, words_of
 
 # Texts are cut into blocks of this many characters before single places in them are looked at.
 BLOCK = 64
-# A place in a text is first looked up by at most this many characters.
-HEAD = 3
+# A place in a text is first looked up by at most this many characters; the first that fits is used.
+HEADS = (3, 2, 1)
 # Memory a broadcast word takes on top of its own bytes, counted generously.
 ROW_OVERHEAD = 64
 
@@ -61,23 +61,23 @@ def split_words_dict(
         .where(F.length("word") > 0)
         .distinct()
     )
-    head = F.substring("word", 1, HEAD)
     facts = words.agg(
         F.count("*").alias("words"),
         F.sum(F.octet_length("word")).alias("bytes"),
-        F.countDistinct(head).alias("heads"),
         F.collect_set(F.length("word")).alias("lengths"),
+        *(F.countDistinct(F.substring("word", 1, n)).alias(f"heads_{n}") for n in HEADS),
     ).first()
     lengths = sorted(facts.lengths) or [1]
     words_fit = (facts.bytes or 0) + facts.words * ROW_OVERHEAD <= broadcast_limit
-    heads_fit = facts.heads * (ROW_OVERHEAD + 8 * len(lengths)) <= broadcast_limit
+    head_bytes = ROW_OVERHEAD + 8 * len(lengths)
+    head = next((n for n in HEADS if facts[f"heads_{n}"] * head_bytes <= broadcast_limit), None)
 
     places = _places(df, text, list(keep), longest=lengths[-1])
-    if heads_fit:
-        heads = words.groupBy(head.alias("_head")).agg(
+    if head:
+        heads = words.groupBy(F.substring("word", 1, head).alias("_head")).agg(
             F.collect_set(F.length("word")).alias("_lengths")
         )
-        head_lengths = _fixed({min(n, HEAD) for n in lengths})
+        head_lengths = _fixed({min(n, head) for n in lengths})
         starts = _pieces(places, [*keep, "position", "_rest"], head_lengths)
         places = _broadcast_lookup(starts, heads, "_head")
         found = _pieces(places, [*keep, "position"], F.col("_lengths"))

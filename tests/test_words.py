@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from conftest import plan_of, rows_of
@@ -91,12 +92,18 @@ def brute_force(texts, words):
     )
 
 
-PATHS = {"broadcast": 64 << 20, "heads only": 20_000, "shuffle": 0}
+# limit in bytes, start of 400 further words, broadcast and merge joins in the plan
+PATHS = {
+    "broadcast": (64 << 20, "qqq", 2, 0),
+    "heads of three": (10_000, "qqq", 1, 1),
+    "heads of two": (6_000, "q", 1, 1),
+    "shuffle": (0, "q", 0, 1),
+}
 
 
-@pytest.mark.parametrize("limit", PATHS.values(), ids=PATHS.keys())
+@pytest.mark.parametrize("path", PATHS)
 @pytest.mark.parametrize("seed", range(2))
-def test_dictionary_against_brute_force(spark, settings, seed, limit):
+def test_dictionary_against_brute_force(spark, settings, seed, path):
     """Long texts of several blocks, wide characters, words longer than a block."""
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     pick = random.Random(seed)
@@ -108,7 +115,8 @@ def test_dictionary_against_brute_force(spark, settings, seed, limit):
     words = ["".join(pick.choices(letters, k=n)) for n in (1, 1, 2, 2, 3, 3, 4, 5, 6)]
     words += ["a", "", "aa", "a" * 70, long_text[30:130], "a"]
     words += ["".join(pick.choices(letters, k=3000))]
-    many = [f"qqq{n}" for n in range(400)]
+    limit, start, broadcasts, merges = PATHS[path]
+    many = [f"{start}{n:03d}" for n in range(400)]
     found = split_words_dict(
         spark.createDataFrame(texts, "id bigint, text string"),
         "text",
@@ -120,9 +128,12 @@ def test_dictionary_against_brute_force(spark, settings, seed, limit):
     assert sorted(tuple(r) for r in found.collect()) == brute_force(texts, words)
     plan = plan_of(found)
     assert "EvalPython" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
-    joins = {"broadcast": (2, 0), "heads only": (1, 1), "shuffle": (0, 1)}
-    path = next(name for name, bytes_ in PATHS.items() if bytes_ == limit)
-    assert (plan.count("BroadcastHashJoin"), plan.count("SortMergeJoin")) == joins[path]
+    joins = plan.count("BroadcastHashJoin"), plan.count("SortMergeJoin")
+    assert joins == (broadcasts, merges)
+    if broadcasts:
+        assert f"substring(word#{{}}, 1, {2 if path == 'heads of two' else 3})" in re.sub(
+            r"word#\d+", "word#{}", plan
+        )
 
 
 def test_empty_dictionary(spark, texts):
