@@ -50,8 +50,8 @@ def split_words_dict(
     case counts. Each place is first looked up by the head of a word, which says what lengths can
     follow there, and then by the whole word.
 
-    One small job measures the dictionary first, so the dictionary is read more than once; write it
-    to a table if it takes long to derive. Word heads and words are broadcast only within
+    A small job measures the dictionary first, and up to three more do if it is a large one; write
+    it to a table if it takes long to derive. Heads and words are broadcast only within
     ``broadcast_limit`` bytes. Without the heads every length is tried. Beyond the limit the words
     are joined by a shuffle, each word in ``salts`` copies, so that a word which is most of the
     text spreads over as many partitions.
@@ -65,12 +65,11 @@ def split_words_dict(
         F.count("*").alias("words"),
         F.sum(F.octet_length("word")).alias("bytes"),
         F.collect_set(F.length("word")).alias("lengths"),
-        *(F.countDistinct(F.substring("word", 1, n)).alias(f"heads_{n}") for n in HEADS),
     ).first()
     lengths = sorted(facts.lengths) or [1]
     words_fit = (facts.bytes or 0) + facts.words * ROW_OVERHEAD <= broadcast_limit
-    head_bytes = ROW_OVERHEAD + 8 * len(lengths)
-    head = next((n for n in HEADS if facts[f"heads_{n}"] * head_bytes <= broadcast_limit), None)
+    most_heads = broadcast_limit // (ROW_OVERHEAD + 8 * len(lengths))
+    head = HEADS[0] if facts.words <= most_heads else _head_length(words, most_heads)
 
     places = _places(df, text, list(keep), longest=lengths[-1])
     if head:
@@ -95,6 +94,14 @@ def split_words_dict(
     return matched.select(*keep, "position", "word")
 
 
+def _head_length(words: DataFrame, most_heads: int) -> int | None:
+    """The longest head of which a dictionary too large to broadcast has few enough, if any."""
+    for n in HEADS:
+        if words.select(F.substring("word", 1, n)).distinct().count() <= most_heads:
+            return n
+    return None
+
+
 def _places(df: DataFrame, text: str, keep: list[str], longest: int) -> DataFrame:
     """One row per character of a text, with ``_rest``, the text from there on as far as the
     longest word reaches.
