@@ -73,8 +73,9 @@ def records(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 1000, records_per_file: int = 1000) -> None:
-    """Archive files below ``folder``. The two line ends that close a record are the writer's line separator."""
-    records(pages, least_bytes).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file).text(folder)
+    """Compressed archive files below ``folder``. The two line ends that close a record are the writer's line separator."""
+    writer = records(pages, least_bytes).write.option("lineSep", "\r\n\r\n").option("compression", "gzip")
+    writer.option("maxRecordsPerFile", records_per_file).text(folder)
 
 
 def parse(data: bytes):
@@ -97,13 +98,14 @@ def _number(name: str | None) -> int | None:
 
 
 def _read(batches):
+    import gzip
     import hashlib
 
     schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("target_uri", pa.string())])
     for batch in batches:
         for content in batch.column(0):
             rows = []
-            for headers, block in parse(content.as_buffer().to_pybytes()):
+            for headers, block in parse(gzip.decompress(content.as_buffer())):
                 kind = headers["WARC-Type"]
                 digest, size = headers["WARC-Payload-Digest"].removeprefix("sha1:"), int(headers["X-Payload-Length"])
                 if kind == "response":
