@@ -167,16 +167,17 @@ def _local_stars(batches):
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def components(links: DataFrame, tasks: int | None = None) -> DataFrame:
+def components(links: DataFrame, native: bool = False) -> DataFrame:
     """Connected groups of ``links`` (a, b): (id, component_id), the smallest id of its group, for linked ids.
 
     Alternates, until nothing changes, between hanging the larger neighbours of each id on its smallest one
-    and hanging all smaller ones there. A hot id is aggregated partially, and its join side can be split.
+    and hanging all smaller ones there. A hot id is aggregated partially, and its join side can be split. Links are
+    first reduced to stars task by task, which ``native`` leaves out.
     """
-    spark = links.sparkSession
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     links = links.select(F.greatest("a", "b").cast("bigint").alias("a"), F.least("a", "b").cast("bigint").alias("b")).where("a <> b")
-    now = stored(links.mapInArrow(_local_stars, "a bigint, b bigint").distinct(), "links")
+    if not native:
+        links = links.mapInArrow(_local_stars, "a bigint, b bigint")
+    now = stored(links.distinct(), "links")
     state = None
     while True:
         both = now.union(now.select("b", "a"))
@@ -190,3 +191,15 @@ def components(links: DataFrame, tasks: int | None = None) -> DataFrame:
         if seen == state:
             return now.select(F.col("a").alias("id"), F.col("b").alias("component_id")).union(now.select(F.col("b"), F.col("b")).distinct())
         state = seen
+
+
+def attached(rows: DataFrame, few: DataFrame, key: str, how: str, most_bytes: int = 32 << 20) -> DataFrame:
+    """``rows`` joined to the stored table ``few``: by broadcast if its rows are measured below ``most_bytes``, else by
+    a shuffle of both."""
+    width = few.agg(F.sum(F.lit(64) + sum((F.coalesce(_width(few, c), F.lit(0)) for c in few.columns), F.lit(0)))).first()[0] or 0
+    return rows.join(F.broadcast(few) if width <= most_bytes else few, key, how)
+
+
+def _width(df: DataFrame, name: str):
+    kind = df.schema[name].dataType.simpleString()
+    return F.size(name) * (8 if kind.startswith("array<int") or kind.startswith("array<bigint") else 64) if kind.startswith("array") else F.octet_length(name) if kind in ("string", "binary") else F.lit(8)

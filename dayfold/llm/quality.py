@@ -19,6 +19,8 @@ from dayfold.llm.common import PIECE_BYTES, mixed, powers
 
 BUCKET_BITS = 17
 GRAMS = (2, 3, 4)
+#: Words of the n-grams whose repetition in a text is a feature.
+RUN = 3
 
 
 @dataclass(frozen=True)
@@ -31,7 +33,8 @@ class Model:
 
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(text index, bucket) of every feature of ``texts``: their words as they stand between white space, and their
-    character n-grams, in which a word's ends count as characters. Whole texts; an empty one has none."""
+    character n-grams, in which a word's ends count as characters; and for each word whether it and the next ones have
+    stood together before in the text. Whole texts; an empty one has none."""
     chars = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum([len(t) + 1 for t in texts])
     n = len(chars)
@@ -54,6 +57,15 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts = np.r_[0, edge[:-1] + 1]
     words = edge > starts
     add(starts[words], edge[words], 1)
+    # word n-grams share two buckets: new in their text, and seen before in it
+    first, last = starts[words], edge[words]
+    text_of = np.searchsorted(ends, first, "right")
+    whole = np.flatnonzero(text_of[: max(0, len(first) - RUN + 1)] == text_of[RUN - 1 :])
+    grams = mixed((sums[last[whole + RUN - 1]] - sums[first[whole]]) * back[first[whole]]) ^ mixed(text_of[whole].astype(np.uint64))
+    seen = np.ones(len(whole), np.int64)
+    seen[np.unique(grams, return_index=True)[1]] = 0
+    at.append(first[whole])
+    bucket.append(seen)
     inner = np.r_[0, np.cumsum(blank)]
     for size in GRAMS:
         if n > size:
@@ -66,7 +78,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(ends, position, "right"), np.concatenate(bucket)
 
 
-def train(texts: list[str], labels: np.ndarray, size: int = 8, rounds: int = 8, rate: float = 2.0, seed: int = 7) -> Model:
+def train(texts: list[str], labels: np.ndarray, size: int = 8, rounds: int = 5, rate: float = 2.0, seed: int = 7) -> Model:
     """SGD over documents in random order; the rate falls to nothing. With no or one label the score is its share."""
     labels = np.asarray(labels, np.int64)
     share = (labels.sum() + 1.0) / (len(labels) + 2.0)
@@ -117,7 +129,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, chars: int) -
     return table.column("text").to_pylist(), table.column("label").to_numpy()
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = 4000, chars: int = 50_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = 3000, chars: int = 50_000) -> Model:
     """A model from a bounded sample of ``labels`` (doc_id, quality) and their ``docs`` (doc_id, text)."""
     return train(*labelled_sample(docs, labels, rows, chars))
 
