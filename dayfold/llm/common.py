@@ -203,3 +203,40 @@ def attached(rows: DataFrame, few: DataFrame, key: str, how: str, most_bytes: in
 def _width(df: DataFrame, name: str):
     kind = df.schema[name].dataType.simpleString()
     return F.size(name) * (8 if kind.startswith("array<int") or kind.startswith("array<bigint") else 64) if kind.startswith("array") else F.octet_length(name) if kind in ("string", "binary") else F.lit(8)
+
+
+# Documents in chunks: small groups that several passes meet again, each time with what another stage found for them.
+
+#: Chunks per task, so that the hash deals tasks alike.
+CHUNKS_PER_TASK = 6
+
+
+def chunked(docs: DataFrame, tasks: int) -> DataFrame:
+    """(chunk, doc_id, key, text) of ``docs`` (doc_id, text). NULL text is empty; a NULL doc_id comes after all others.
+
+    ``key`` tells the rows of a chunk apart; rows that repeat id and text share it.
+    """
+    doc_id = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_DOC))
+    rows = docs.select(doc_id.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
+    return rows.select(F.pmod("key", F.lit(tasks * CHUNKS_PER_TASK)).cast("int").alias("chunk"), "doc_id", "key", "text")
+
+
+#: Stands for a NULL doc_id, after all ids.
+NO_DOC = (1 << 63) - 1
+
+
+def chunk_texts(rows: pa.Table):
+    """doc_ids, bytes and offsets of a chunk's documents, in the order of their keys."""
+    order = np.argsort(rows.column("key").to_numpy(), kind="stable")
+    rows = rows.take(pa.array(order))
+    data, offsets = text_bytes(rows.column("text"))
+    return rows.column("doc_id").to_numpy(), data, offsets
+
+
+def by_bucket(buckets: np.ndarray):
+    """(bucket, positions) of every bucket that occurs; positions keep their order."""
+    order = np.argsort(buckets, kind="stable")
+    cuts = np.flatnonzero(np.diff(buckets[order])) + 1
+    for part in np.split(order, cuts) if len(order) else []:
+        yield int(buckets[part[0]]), part

@@ -35,6 +35,24 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r) LEFT JOIN longest USING (r)
 """
 
+_REPEATS = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+h AS (SELECT r, doc_id, hex(b) AS x, octet_length(b) AS n FROM d),
+s AS (SELECT r, doc_id, i, x[2 * i + 1 : 2 * i + 100] AS v FROM (SELECT r, doc_id, x, unnest(range(0, n - 49)) AS i FROM h WHERE n >= 50)),
+low AS (SELECT md5(v) AS m, min(coalesce(doc_id, 9223372036854775807)) AS doc FROM s GROUP BY 1),
+hit AS (SELECT r, i FROM s JOIN low ON md5(v) = m WHERE coalesce(doc_id, 9223372036854775807) > doc),
+edges AS (SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) AS gap FROM hit),
+runs AS (SELECT r, i, sum(CASE WHEN gap <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS run FROM edges),
+spans AS (SELECT r, min(i) AS a, max(i) + 50 AS z FROM runs GROUP BY r, run),
+per AS (SELECT r, sum(z - a) AS removed, count(*) AS spans, list(struct_pack(a := a, z := z) ORDER BY a) AS l FROM spans GROUP BY r),
+keep AS (
+  SELECT h.r, doc_id, n, coalesce(removed, 0) AS removed, coalesce(spans, 0) AS spans,
+    CASE WHEN l IS NULL THEN x ELSE array_to_string(list_transform(range(0, len(l) + 1), lambda k:
+      x[2 * CASE WHEN k = 0 THEN 0 ELSE l[k].z END + 1 : 2 * CASE WHEN k = len(l) THEN n ELSE l[k + 1].a END]), '') END AS y
+  FROM h LEFT JOIN per USING (r))
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(removed AS BIGINT) AS n_removed, CAST(spans AS BIGINT) AS n_spans, sha256(unhex(y)) AS kept_sha256 FROM keep
+"""
+
 _WARC = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, strlen(h) AS n, sha1(h) AS digest FROM p),
@@ -77,6 +95,7 @@ FROM e GROUP BY conv_id
 ORACLES = {
     "op1_decontamination": _DECONTAMINATION,
     "op3_chat_formatting": _CHATS,
+    "op5_repeats": _REPEATS,
     "op9_warc_revisits": _WARC,
     "op10_near_embeddings": _NEAR_EMBEDDINGS,
 }

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfold.llm import bpe, chat, decontaminate, fuzzy_lines, near_vectors, quality, token_counts, warc
+from dayfold.llm import bpe, chat, decontaminate, fuzzy_lines, near_vectors, quality, repeats, token_counts, warc
 from dayfold.llm.common import table
 
 
@@ -45,6 +45,10 @@ def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = fuzzy_lines.without_repeated_lines(docs)
@@ -68,6 +72,7 @@ QUERIES = {
     "op2_quality": quality_scores,
     "op3_chat_formatting": chat_formatting,
     "op4_bpe": bpe_round_trip,
+    "op5_repeats": repeated_strings,
     "op6_line_dedup": line_dedup,
     "op7_token_counts": tokens,
     "op9_warc_revisits": warc_revisits,
