@@ -53,6 +53,18 @@ keep AS (
 SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(removed AS BIGINT) AS n_removed, CAST(spans AS BIGINT) AS n_spans, sha256(unhex(y)) AS kept_sha256 FROM keep
 """
 
+_JACCARD = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) AS g FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(doc_id, coalesce(low.b, doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.a = doc_id
+"""
+
 _WARC = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, strlen(h) AS n, sha1(h) AS digest FROM p),
@@ -96,6 +108,7 @@ ORACLES = {
     "op1_decontamination": _DECONTAMINATION,
     "op3_chat_formatting": _CHATS,
     "op5_repeats": _REPEATS,
+    "op8_jaccard_join": _JACCARD,
     "op9_warc_revisits": _WARC,
     "op10_near_embeddings": _NEAR_EMBEDDINGS,
 }

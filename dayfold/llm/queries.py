@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfold.llm import bpe, chat, decontaminate, fuzzy_lines, near_vectors, quality, repeats, token_counts, warc
+from dayfold.llm import bpe, chat, decontaminate, fuzzy_lines, jaccard, near_vectors, quality, repeats, token_counts, warc
 from dayfold.llm.common import table
 
 
@@ -55,6 +55,10 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "lines_removed", F.length("text").cast("bigint").alias("chars_kept"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_documents(table(spark, folder, "documents")).drop("class")
+
+
 def tokens(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"))
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op5_repeats": repeated_strings,
     "op6_line_dedup": line_dedup,
     "op7_token_counts": tokens,
+    "op8_jaccard_join": jaccard_join,
     "op9_warc_revisits": warc_revisits,
     "op10_near_embeddings": near_embeddings,
 }
