@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from dayfold.llm.common import components, merged, ranges, stored
 
 #: Points of one group at most; two groups meet in a task.
-GROUP_POINTS = 8192
+GROUP_POINTS = 4096
 PIVOTS = 64
 #: Covering radii of the levels, from the root's children down; cosine c is the distance sqrt(2 - 2c).
-RADII = (1.0, 0.5, 0.25)
+RADII = (0.5, 0.25, 0.125)
 SLACK = 1e-9
 
 
