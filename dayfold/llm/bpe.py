@@ -191,6 +191,11 @@ class WordTokenizer:
         known, chunk = self.chunks.get, self._chunk
         return [e for c in text.replace("\n", " ").split(" ") if c and (e := known(c) or chunk(c))[0]]
 
+    def check(self, text: str, ids: list[int]) -> None:
+        """The decoded ids spell the parts of ``text`` that were encoded."""
+        if self.decode(ids) != " ".join([labels for _, _, labels in self.parts(text)]):
+            raise ValueError("ids do not decode to the encoded words")
+
     def encode(self, text: str) -> list[int]:
         return [int(i) for _, ids, _ in self.parts(text) for i in ids.split(" ")]
 
@@ -208,17 +213,24 @@ def _texts(batches, width: int):
             yield batch.slice(at, width)
 
 
-def encode_texts(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids) of every whole text; NULL is empty. Rows, repeated ones too, stay one to one."""
+def encode_texts(docs: DataFrame, path: str, verify: bool = False) -> DataFrame:
+    """(doc_id, ids) of every whole ``text``; NULL is empty. Rows, repeated ones too, stay one to one.
+
+    ``verify`` decodes what was encoded and fails if the letters of the words do not come back.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def encode(batches):
         own = tokenizer(path)
         for part in _texts(batches, 128):
-            ids = [own.encode(t or "") for t in part.column(1).to_pylist()]
+            texts = part.column(1).to_pylist()
+            ids = [own.encode(t or "") for t in texts]
+            if verify:
+                for text, found in zip(texts, ids, strict=True):
+                    own.check(text or "", found)
             yield pa.record_batch([part.column(0).cast(pa.int64()), pa.array(ids, pa.list_(pa.int32()))], schema=schema)
 
-    return docs.select(F.col(id_column).alias("doc_id"), text).mapInArrow(encode, "doc_id bigint, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(encode, "doc_id bigint, ids array<int>")
 
 
 def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
