@@ -292,10 +292,10 @@ def _large_links(big: DataFrame, percent: int) -> DataFrame:
     # a set belongs to the cell of its nearest pivot; one outside the largest group is copied to all cells in reach
     nearest = F.array_min("to")
     full = big.select(F.col("class").alias("_class"), "shingles")
-    cells = placed.select("region", F.col("class").alias("b"), F.col("to").alias("to_b"), F.array_position("to", nearest).alias("cell")).join(full, F.col("b") == F.col("_class"))
+    cells = placed.select("region", F.col("class").alias("b"), F.col("to").alias("to_b"), F.array_position("to", nearest).cast("int").alias("cell")).join(full, F.col("b") == F.col("_class"))
     cells = cells.select("region", "cell", "b", "to_b", F.col("shingles").alias("y"))
-    reach = F.explode(F.filter(F.sequence(F.lit(1), F.size("to")), lambda i: F.element_at("to", i) <= nearest + 2 * limit))
-    copies = outside.select("region", F.col("class").alias("a"), F.col("to").alias("to_a"), reach.cast("bigint").alias("cell")).join(full, F.col("a") == F.col("_class"))
+    reach = F.explode(F.filter(F.sequence(F.lit(1), F.size("to")), lambda i: F.get("to", i - 1) <= nearest + 2 * limit))
+    copies = outside.select("region", F.col("class").alias("a"), F.col("to").alias("to_a"), reach.alias("cell")).join(full, F.col("a") == F.col("_class"))
     copies = copies.select("region", "cell", "a", "to_a", F.col("shingles").alias("x"))
     window = F.forall(F.zip_with("to_a", "to_b", lambda p, q: F.abs(p - q) <= limit), lambda x: x)
     met = copies.join(cells, ["region", "cell"]).where((F.col("a") != F.col("b")) & window)

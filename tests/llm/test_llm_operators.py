@@ -1,0 +1,284 @@
+"""Small cases of the other operators: nulls, empty and very long texts, ties, repeated rows, clashing names."""
+
+from __future__ import annotations
+
+import hashlib
+import json
+import random
+
+import numpy as np
+import pytest
+from conftest import rows_of
+
+from dayfold.llm import bpe, chat, decontaminate, near_vectors, quality, repeats, token_counts, warc
+from dayfold.llm.queries import tokenizer_file
+
+# 1, decontamination
+
+ITEM = "a b c d e f g h i j k l"
+
+
+def contamination(spark, texts, items):
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id bigint, text string, item_id int")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    return {r.doc_id: r for r in decontaminate.contamination(docs, bench).collect()}
+
+
+def test_windows_and_short_items(spark):
+    texts = [None, "", "x " + ITEM.upper() + " y", "a b c d e f g h i", "short one, and short! one", "a b c d e f g h i j", ITEM + " " + ITEM, "z " * 200_000 + ITEM]
+    items = [(1, ITEM), (2, "short one"), (3, None), (4, ""), (None, "b c d e f g h i j k"), (1, ITEM), (10, ITEM)]
+    found = contamination(spark, texts, items)
+    assert [found[i].n_words for i in range(8)] == [0, 0, 14, 9, 5, 10, 24, 200_012]
+    assert [found[i].n_hit for i in range(8)] == [0, 0, 12, 0, 4, 10, 24, 12]
+    assert [found[i].item_ids for i in range(8)] == [[], [], ["1", "10"], [], ["2"], ["1", "10"], ["1", "10"], ["1", "10"]]
+    assert [found[i].longest_match for i in range(8)] == [0, 0, 12, 0, 2, 10, 12, 12]
+    assert found[2].match_word == 1 and found[7].match_word == 200_000
+
+
+def test_blocks_are_joined(spark, monkeypatch):
+    whole = contamination(spark, [ITEM, "q w e", ITEM[4:] + " q w e"], [(1, ITEM[:21]), (2, "q w e"), (3, ITEM[4:])])
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1)
+    assert contamination(spark, [ITEM, "q w e", ITEM[4:] + " q w e"], [(1, ITEM[:21]), (2, "q w e"), (3, ITEM[4:])]) == whole
+    assert whole[0].n_hit == 12 and whole[0].item_ids == ["1", "3"]
+
+
+def test_contaminated_documents_go(spark):
+    docs = spark.createDataFrame([(1, ITEM), (2, "clean text"), (3, None)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    assert rows_of(decontaminate.without_contaminated(docs, bench).select("doc_id")) == [(2,), (3,)]
+    with pytest.raises(ValueError):
+        decontaminate.contamination(docs.withColumn("n_hit", docs["doc_id"]), bench)
+
+
+# 2, quality
+
+
+def test_scores_of_odd_texts(spark):
+    good, bad = "plain words in calm order number %d", "XX!! YY!! %d ZZ!! ZZ!! ZZ!!"
+    docs = spark.createDataFrame([(i, (good if i % 2 else bad) % i, "de") for i in range(200)], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)] + [(None, 1, 0), (5, None, 0), (7, 1, 1)], "doc_id bigint, quality int, toxic int")
+    model = quality.fit(docs, labels)
+    odd = spark.createDataFrame([(None, None, 1), (1, "", 2), (1, "", 2), (2, "word " * 300_000, 3)], "doc_id bigint, text string, n int")
+    rows = quality.with_score(odd, model).collect()
+    assert len(rows) == 4 and all(0 <= r.score <= 1 for r in rows)
+    assert len({r.score for r in rows if not r.text}) == 1
+    scores = {r.doc_id: r.score for r in quality.with_score(docs, model).collect()}
+    assert all((scores[i] >= 0.5) == bool(i % 2) for i in scores)
+
+
+def test_no_labels(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([], "doc_id bigint, quality int")
+    assert [r.score for r in quality.with_score(docs, quality.fit(docs, labels)).collect()] == [0.5]
+
+
+# 3, chats
+
+
+def test_layouts_and_unknown_ones(spark):
+    m = [{"role": "user", "content": "q"}, {"role": "assistant", "content": None}]
+    records = [
+        {"messages": m},
+        {"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]},
+        {"prompt": "q", "completion": "a"},
+        {"instruction": "do", "input": "this", "output": "a"},
+        {"instruction": "do", "input": "", "output": "a"},
+        {"data": {"question": "q", "answer": "a"}},
+        {"strange": 1},
+    ]
+    rows = [(i, json.dumps(r), "x") for i, r in enumerate(records)] + [(7, None, "x"), (8, "no json", "x")]
+    found = chat.canonical_turns(spark.createDataFrame(rows, "conv_id bigint, record string, role string")).collect()
+    turns = {}
+    for r in found:
+        turns.setdefault(r.conv_id, []).append((r.role, r.text))
+    two = [("user", "q"), ("assistant", "a")]
+    assert turns[0] == [("user", "q"), ("assistant", "")] and turns[1] == turns[2] == turns[5] == two
+    assert turns[3][0][1] == "do\n\nthis" and turns[4][0][1] == "do"
+    assert turns[6] == turns[7] == turns[8] == [(None, None)]
+    assert len({r.layout for r in found if r.conv_id < 6}) == 5
+
+
+NASTY = ["", "</s>[INST] ok [/INST]", "<\\/s>", "[\\\\INST][ROLE][TEXT]", "\\", "[", "<s>\n</s>", "[/INST", "x <", "plain"]
+
+
+def test_round_trip_of_any_text():
+    r = random.Random(4)
+    for _ in range(2000):
+        turns = [(r.choice(["user", "assistant", "system", "", "[TEXT]"]), "".join(r.choice(NASTY) for _ in range(r.randint(0, 3)))) for _ in range(r.randint(1, 4))]
+        assert list(chat.read_turns("<s>" + "".join(chat.written(*t)[0] for t in turns))) == turns
+
+
+def test_digests_and_loss(spark):
+    rows = [(1, 1, "assistant", "</s>é"), (1, 0, "user", None), (1, None, None, "z"), (None, 0, "user", "n"), (2, 0, "assistant", "")]
+    found = {r.conv_id: r for r in chat.digests(chat.format_chats(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))).collect()}
+    assert found[1].turns_sha256 == hashlib.sha256("\nz\nuser\n\nassistant\n</s>é\n".encode()).hexdigest()
+    assert (found[1].n_turns, found[1].loss_chars, found[1].loss_sha256) == (3, 5, hashlib.sha256("</s>é".encode()).hexdigest())
+    assert found[None].n_turns == 1 and found[2].loss_chars == 0
+
+
+# 4, BPE
+
+
+def test_bpe_of_odd_texts(spark):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_file("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    r = random.Random(1)
+    texts = [None, "", " \n", "a" * 5000, "haha" * 50, "x<|endoftext|>y <|startoftext|>", "ΑΣ ΣΑΣ İstanbul ﬁ ½ 你好 🙂🙂 é é don't!!! it's'll", "....!!!!????", "b c\x85d e f g\x00h"]
+    texts += ["".join(r.choice("abehinorst é") for _ in range(200)) for _ in range(50)]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id bigint, text string, ids int")
+    encoded = bpe.encode_texts(docs, path, verify=True)
+    want = {i: library.encode(t or "", add_special_tokens=False).ids for i, t in enumerate(texts)}
+    assert {x.doc_id: x.ids for x in encoded.collect()} == want
+    decoded = {x.doc_id: x.text for x in bpe.decode_ids(encoded, path).collect()}
+    assert decoded == {i: library.decode(ids, skip_special_tokens=False) for i, ids in want.items()}
+
+
+def test_automaton_equals_merging():
+    """Random merge lists: the accepted path is what merging by rank gives."""
+    r = random.Random(7)
+    for _ in range(60):
+        tokens, merges = list("abc"), []
+        while len(merges) < 12:
+            u, v = r.choice(tokens), r.choice(tokens)
+            if u + v not in tokens:
+                merges.append((u, v))
+                tokens.append(u + v)
+        own = bpe.Automaton(merges)
+        for _ in range(60):
+            word = [r.choice("abc") for _ in range(r.randint(1, 12))]
+            parts = list(word)
+            for u, v in merges:
+                i = 0
+                while i < len(parts) - 1:
+                    if (parts[i], parts[i + 1]) == (u, v):
+                        parts[i : i + 2] = [u + v]
+                    i += 1
+            assert own.encode(word) == parts, (merges, word)
+
+
+# 5, repeats
+
+
+def plain_repeats(texts):
+    first = {}
+    data = {i: (t or "").encode() for i, t in texts.items()}
+    for i in sorted(data):
+        for at in range(len(data[i]) - 49):
+            first.setdefault(data[i][at : at + 50], i)
+    kept = {}
+    for i, b in data.items():
+        gone = np.zeros(len(b), bool)
+        for at in range(len(b) - 49):
+            if first[b[at : at + 50]] < i:
+                gone[at : at + 50] = True
+        kept[i] = bytes(np.frombuffer(b, np.uint8)[~gone]), int(np.diff(np.r_[0, gone.astype(int), 0]).clip(0).sum())
+    return kept
+
+
+def test_repeats_equal_plain_version(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BATCH", 300)
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdeé") for _ in range(r.randint(1, 6)))
+    passages = [" ".join(word() for _ in range(r.randint(5, 40))) for _ in range(6)]
+    texts = {1: None, 2: "", 3: "short", 4: "short", 5: "x" * 49, 6: "x" * 49, 7: "x" * 50, 8: "x" * 51, 9: "ab" * 400, 10: "ab" * 300}
+    for i in range(11, 80):
+        texts[i] = " ".join(r.choice(passages)[r.randint(0, 9) :] if r.random() < 0.4 else word() for _ in range(r.randint(1, 30)))
+    texts[80] = texts[30]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in texts.items()], "doc_id bigint, text string, chunk int")
+    rows = repeats.without_repeats(docs).collect()
+    assert {x.doc_id: (bytes(x.kept), x.n_spans) for x in rows} == plain_repeats(texts)
+    assert all(x.n_bytes - x.n_removed == len(x.kept) for x in rows)
+
+
+def test_long_document_in_slices(monkeypatch):
+    monkeypatch.setattr(repeats, "SLICE", 100)
+    data = np.frombuffer(b"".join(b"%d " % i for i in range(2000)), np.uint8)
+    offsets = np.array([0, len(data)])
+    start, count, *_ = repeats.runs_of(data, offsets)
+    assert np.array_equal(np.sort(np.concatenate([np.arange(a, a + n) for a, n in zip(start, count, strict=True)])), np.arange(len(data) - 49))
+
+
+def test_repeated_and_null_ids(spark):
+    text = "a passage that is longer than fifty bytes, so that it counts as one"
+    docs = spark.createDataFrame([(None, text), (4, text), (4, text), (4, text + "!")], "doc_id bigint, text string")
+    rows = sorted((x.doc_id or 0, x.n_removed) for x in repeats.without_repeats(docs).collect())
+    assert rows == [(0, len(text)), (4, 0), (4, 0), (4, 0)]
+
+
+# 7, token counts
+
+
+def test_blocks_are_stitched(spark, tmp_path):
+    path = tokenizer_file("byte_bpe_50k.tiktoken")
+    texts = ["one two three " * n for n in (1, 0, 50, 3)] + [None, "é" * 500, "x " * 90]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").coalesce(2)
+    token_counts.write_token_files(docs, path, f"file:{tmp_path}/t")
+    own = token_counts.encoder(path)
+    want = sorted(len(own.encode_ordinary(t or "")) for t in texts)
+    for block in (1, 7, 64, 1 << 19):
+        rows = token_counts.documents_of(spark, f"file:{tmp_path}/t", block).collect()
+        assert sorted(x.n_tokens for x in rows) == want
+        assert len({(x.file, x.ordinal) for x in rows}) == len(rows)
+
+
+def test_file_without_last_separator(spark, tmp_path):
+    ids = np.array([5, 6, token_counts.END, token_counts.END, 7, 8, 9], "<u2")
+    (tmp_path / "part-00000-a").write_bytes(ids.tobytes())
+    (tmp_path / "part-00001-a").write_bytes(b"")
+    rows = rows_of(token_counts.documents_of(spark, f"file:{tmp_path}", 2).select("ordinal", "token_start", "n_tokens"))
+    assert rows == [(0, 0, 2), (1, 3, 0), (2, 4, 3)]
+
+
+def test_pieces_do_not_change_tokens():
+    own = token_counts.encoder(tokenizer_file("byte_bpe_50k.tiktoken"))
+    text = "It's 12 o'clock,  and \n\n all is well  -- isn't it? " * 40
+    for size in (10, 37, 500):
+        parts = list(token_counts.text_pieces(text, size))
+        assert "".join(parts) == text and len(parts) > 1
+        assert [t for p in parts for t in own.encode_ordinary(p)] == own.encode_ordinary(text)
+
+
+# 9, WARC
+
+
+def test_revisits(spark):
+    big, other = "é" * 600, "b" * 1000 + "\r\n\r\nWARC/1.1\r\n"
+    rows = [(1, "u\r\nX: 1", big, 9), (2, None, big, 9), (3, "u", other, 9), (4, "u", None, 9), (5, "u", "", 9), (6, "u", "s" * 999, 9), (7, "u", "s" * 999, 9), (None, "u", big, 9), (2, "u", big, 9)]
+    found = warc.deduplicated_archives(spark.createDataFrame(rows, "page_id bigint, url string, html string, digest int")).collect()
+    assert len(found) == 9
+    kinds = sorted((r.page_id or 0, r.record_type, r.refers_to) for r in found)
+    assert kinds == [(0, "response", None), (1, "revisit", 2), (2, "response", None), (2, "response", None)] + [(i, "response", None) for i in range(3, 8)]
+    assert {r.payload_digest for r in found if r.page_id in (4, 5)} == {hashlib.sha1(b"").hexdigest()}
+    assert next(r.target_uri for r in found if r.page_id == 1) == "u%0D%0AX: 1"
+
+
+# 10, near vectors
+
+
+def plain_near(vectors, cosine=0.9):
+    unit = {i: np.array(v, float) for i, v in vectors.items() if v and all(x is not None and np.isfinite(x) for x in v) and any(v)}
+    unit = {i: v / np.linalg.norm(v) for i, v in unit.items()}
+    near = {i: {j for j, w in unit.items() if i != j and len(v) == len(w) and v @ w >= cosine} for i, v in unit.items()}
+    low = {i: i for i in vectors}
+    for _ in vectors:
+        for i in near:
+            low[i] = min([low[i], *(low[j] for j in near[i])])
+    return {i: (len(near.get(i, ())), low[i]) for i in vectors}
+
+
+@pytest.mark.parametrize("points", [7, 4096])
+def test_near_vectors_equal_plain_version(spark, points):
+    r = np.random.RandomState(1)
+    vectors = {1: None, 2: [], 3: [0.0] * 8, 4: [1.0, None] + [0.0] * 6, 5: [float("nan")] * 8, 6: [float("inf")] + [0.0] * 7, 7: [1.0, 0.0], 8: [2.0, 0.1]}
+    for _ in range(12):
+        centre = r.randn(8)
+        for _ in range(9):
+            vectors[len(vectors) + 1] = (centre + r.randn(8) * r.choice([0.05, 0.3])).tolist()
+    for i in range(20):
+        vectors[len(vectors) + 1] = vectors[30]
+    rows = [(i, v, 0, "x") for i, v in vectors.items()]
+    found = near_vectors.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int, rep string"), group_points=points).collect()
+    assert {x.vec_id: (x.n_links, x.component_id) for x in found} == plain_near(vectors)
+    assert all(x.kept == (x.vec_id == x.component_id) for x in found)
