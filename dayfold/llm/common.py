@@ -208,7 +208,7 @@ def _width(df: DataFrame, name: str):
 # Documents in chunks: small groups that several passes meet again, each time with what another stage found for them.
 
 #: Chunks per task, so that the hash deals tasks alike.
-CHUNKS_PER_TASK = 6
+CHUNKS_PER_TASK = 2
 
 
 def chunked(docs: DataFrame, tasks: int) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from dayfold.llm.common import BYTE_VALUES, LOWER, NO_DOC, by_bucket, chunk_texts, chunked, components, merged, mixed, packed, pieces, prefix_hash, ranges, span_hash, stored, task_count, unpacked, word_spans
 
 WORDS = 5
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 #: White space that ends words: blank, and bytes 9 to 13.
 WORD_BYTES = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)])
 #: Sets and shingles of a region that is joined in one task.
@@ -311,7 +311,7 @@ def near_documents(docs: DataFrame, words: int = WORDS, percent: int = 75) -> Da
     different documents, and each has the smallest id that either reaches. Other columns are left out.
     """
     tasks = task_count(docs, "text", CHUNK_BYTES)
-    buckets = 4 * tasks
+    buckets = tasks
     rows = chunked(docs, tasks)
     counted = rows.groupBy("chunk").applyInArrow(_count(buckets, words), _COUNTS_SQL)
     summed = counted.groupBy("bucket").applyInArrow(_sum, _COUNTS_SQL)

@@ -25,7 +25,7 @@ ANCHOR = 16
 BATCH = 1 << 16
 #: Bytes of text whose suffixes are hashed at a time.
 SLICE = 1 << 20
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _KEY = np.uint64((1 << 48) - 1)
@@ -311,7 +311,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     ``kept`` are the bytes left, which need not be UTF-8 any more. Other columns are left out.
     """
     tasks = task_count(docs, "text", CHUNK_BYTES)
-    buckets = 4 * tasks
+    buckets = tasks
     rows = chunked(docs, tasks)
     found = rows.groupBy("chunk").applyInArrow(_anchors(buckets), _ANCHORS_SQL)
     shared = found.groupBy("bucket").applyInArrow(_shared, _ANCHORS_SQL)
