@@ -17,7 +17,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: Bytes of text that numpy works on at a time; a longer document is one piece of its own.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 19
 
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 

@@ -110,7 +110,10 @@ def _count(buckets: int, words: int):
         _, _, bounds, names, least, first, keys, count = _chunk_sets(rows, words)
         out: dict[int, list] = {}
         for bucket, at in by_bucket(_bucket_of(keys, buckets)):
-            out[bucket] = [packed(np.diff(keys[at], prepend=np.uint64(0))), packed(np.minimum(count[at], 255), 1), b"", b""]
+            # 48 bits of a hash are enough to count by: shingles that share them only seem more frequent
+            short, where = np.unique(keys[at] & _KEY, return_inverse=True)
+            several = np.minimum(np.bincount(where, count[at]), 255).astype(np.int64)
+            out[bucket] = [packed(np.diff(short, prepend=np.uint64(0)), 6), packed(several, 1), b"", b""]
         own = np.flatnonzero(first & (np.diff(bounds) > 0))
         for bucket, at in by_bucket(_bucket_of(names[own], buckets)):
             row = out.setdefault(bucket, [b"", b"", b"", b""])
@@ -131,7 +134,7 @@ def _sum(_, rows):
     """Of a bucket: for each chunk the counts over all chunks, in its own order, and the smallest doc_id of sets that
     other chunks have too."""
     sides = rows.to_pylist()
-    keys = [np.cumsum(unpacked(s["keys"]), dtype=np.uint64) for s in sides]
+    keys = [np.cumsum(unpacked(s["keys"], 6), dtype=np.uint64) for s in sides]
     counts = [unpacked(s["values"], 1).astype(np.int64) for s in sides]
     every, where = np.unique(np.concatenate(keys), return_inverse=True)
     code = _levels(np.maximum(1, np.bincount(where, np.concatenate(counts), len(every)))) if len(every) else np.zeros(0, np.uint8)
@@ -151,14 +154,14 @@ def _sum(_, rows):
         if len(used) or len(shared):
             out["bucket"].append(side["bucket"])
             out["chunk"].append(side["chunk"])
-            out["keys"].append(packed(np.diff(own[used], prepend=np.uint64(0))))
+            out["keys"].append(packed(np.diff(own[used], prepend=np.uint64(0)), 6))
             out["values"].append(codes[used].tobytes())
             out["names"].append(packed(sets[shared]))
             out["least"].append(packed(lowest[shared].view(np.uint64)))
     return _table(out, _COUNTS)
 
 
-def _sets(words: int, percent: int):
+def _sets(words: int, percent: int, buckets: int):
     """Pass 2: every document with its class; the sets of classes that share a shingle of their prefix with another."""
 
     def run(key, rows, counts):
@@ -168,9 +171,14 @@ def _sets(words: int, percent: int):
         doc_ids, shingles, bounds, names, least, first, keys, _ = _chunk_sets(rows, words)
         code_of = np.zeros(len(keys), np.uint8)
         elsewhere: dict[int, int] = {}
+        places = dict(by_bucket(_bucket_of(keys, buckets)))
         for side in counts.to_pylist():
-            known = np.cumsum(unpacked(side["keys"]), dtype=np.uint64)
-            code_of[np.searchsorted(keys, known)] = np.frombuffer(side["values"], np.uint8)
+            known = np.cumsum(unpacked(side["keys"], 6), dtype=np.uint64)
+            if len(known):
+                at = places[side["bucket"]]
+                found = np.minimum(np.searchsorted(known, keys[at] & _KEY), len(known) - 1)
+                hit = known[found] == keys[at] & _KEY
+                code_of[at[hit]] = np.frombuffer(side["values"], np.uint8)[found[hit]]
             elsewhere.update(zip(unpacked(side["names"]).tolist(), unpacked(side["least"]).view(np.int64).tolist(), strict=True))
         code = code_of[np.minimum(np.searchsorted(keys, shingles), max(0, len(keys) - 1))]
         doc = np.repeat(np.arange(len(doc_ids)), np.diff(bounds))
@@ -315,7 +323,7 @@ def near_documents(docs: DataFrame, words: int = WORDS, percent: int = 75) -> Da
     rows = chunked(docs, tasks)
     counted = rows.groupBy("chunk").applyInArrow(_count(buckets, words), _COUNTS_SQL)
     summed = counted.groupBy("bucket").applyInArrow(_sum, _COUNTS_SQL)
-    sets = rows.groupBy("chunk").cogroup(summed.groupBy("chunk")).applyInArrow(_sets(words, percent), _SETS_SQL)
+    sets = rows.groupBy("chunk").cogroup(summed.groupBy("chunk")).applyInArrow(_sets(words, percent, buckets), _SETS_SQL)
     sets = stored(sets, "sets")
     # from here on a class is named by the hash of its set, which tells rows of one doc_id apart
     open_sets = sets.where("shingles is not null").select(F.col("name").alias("class"), "shingles", "prefix")

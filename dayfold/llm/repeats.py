@@ -24,7 +24,7 @@ ANCHOR = 16
 #: Suffixes of a batch in a bucket; a document with more is one batch.
 BATCH = 1 << 16
 #: Bytes of text whose suffixes are hashed at a time.
-SLICE = 1 << 20
+SLICE = 1 << 18
 CHUNK_BYTES = 6 << 20
 
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
