@@ -21,8 +21,29 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words kept with their encodings in one task; beyond it the table starts anew.
-CACHED_WORDS = 300_000
+#: Words kept with their encodings in one task, twice: those met lately, and those met before them.
+CACHED_WORDS = 60_000
+#: Steps kept in the automaton's table.
+CACHED_STEPS = 1_000_000
+
+
+class Recent:
+    """Values by key, of which about the last ``most`` to twice as many are kept."""
+
+    def __init__(self, make, most: int):
+        self.make, self.most = make, most
+        self.now, self.before = {}, {}
+
+    def __call__(self, key):
+        found = self.now.get(key)
+        if found is None:
+            found = self.before.get(key)
+            if found is None:
+                found = self.make(key)
+            if len(self.now) >= self.most:
+                self.now, self.before = {}, self.now
+            self.now[key] = found
+        return found
 
 
 class Automaton:
@@ -70,6 +91,8 @@ class Automaton:
         key = after << 32 | token
         known = self.table.get(key)
         if known is None:
+            if len(self.table) >= CACHED_STEPS:
+                self.table.clear()
             known = self.table[key] = self._allowed(after, token)
         return known
 
@@ -141,8 +164,8 @@ class WordTokenizer:
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.labels = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.letters = [_byte_letters()[b] for b in range(256)]
-        self.words: dict[str, tuple[int, str, str]] = {}
-        self.chunks: dict[str, tuple[int, str, str]] = {}
+        self.words = Recent(self._word, CACHED_WORDS)
+        self.chunks = Recent(self._chunk, CACHED_WORDS)
 
     def encode_word(self, word: str) -> list[int]:
         symbols = [self.letters[b] for b in word.encode()]
@@ -160,21 +183,14 @@ class WordTokenizer:
 
     def _word(self, word: str) -> tuple[int, str, str]:
         ids = self.encode_word(word)
-        entry = len(ids), " ".join(map(str, ids)), self.decode(ids)
-        if len(self.words) >= CACHED_WORDS:
-            self.words.clear()
-        self.words[word] = entry
-        return entry
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
 
     def _chunk(self, chunk: str) -> tuple[int, str, str]:
         """The words of what stands between two blanks, and the entry that tells them all."""
-        known, word = self.words.get, self._word
-        entries = [known(w) or word(w) for w in self.pattern.findall(self.normalized(chunk))]
-        entry = entries[0] if len(entries) == 1 else (sum(e[0] for e in entries), " ".join([e[1] for e in entries]), " ".join([e[2] for e in entries]))
-        if len(self.chunks) >= CACHED_WORDS:
-            self.chunks.clear()
-        self.chunks[chunk] = entry
-        return entry
+        entries = [self.words(w) for w in self.pattern.findall(self.normalized(chunk))]
+        if len(entries) == 1:
+            return entries[0]
+        return sum(e[0] for e in entries), " ".join([e[1] for e in entries]), " ".join([e[2] for e in entries])
 
     def parts(self, text: str) -> list[tuple[int, str, str]]:
         """(number of ids, the ids, their labels) of the pieces of ``text`` between blanks, line ends and special tokens."""
@@ -188,8 +204,8 @@ class WordTokenizer:
         return found
 
     def _plain(self, text: str) -> list[tuple[int, str, str]]:
-        known, chunk = self.chunks.get, self._chunk
-        return [e for c in text.replace("\n", " ").split(" ") if c and (e := known(c) or chunk(c))[0]]
+        chunk = self.chunks
+        return [e for c in text.replace("\n", " ").split(" ") if c and (e := chunk(c))[0]]
 
     def check(self, text: str, ids: list[int]) -> None:
         """The decoded ids spell the parts of ``text`` that were encoded."""
