@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from dayfold.functions.columns import own_column
 
@@ -11,9 +12,16 @@ from dayfold.functions.columns import own_column
 def min_max_by_key(
     df: DataFrame, key: str, value: str, low: str = "min_value", high: str = "max_value"
 ) -> DataFrame:
-    """Smallest and largest value per key; text compares in text order."""
-    return df.groupBy(own_column(df, key).alias(key)).agg(
-        F.min(own_column(df, value)).alias(low), F.max(own_column(df, value)).alias(high)
+    """Smallest and largest value per key; text compares in text order.
+
+    Spark sorts the rows to find the smallest text, so each text of a key is first brought down to
+    one by hashing. The count keeps that step: without a use of it Spark would leave the step out.
+    """
+    rows = df.select(own_column(df, key).alias("_key"), own_column(df, value).alias("_value"))
+    if isinstance(rows.schema["_value"].dataType, StringType):
+        rows = rows.groupBy("_key", "_value").agg(F.count("*").alias("_n")).where("_n > 0")
+    return rows.groupBy(F.col("_key").alias(key)).agg(
+        F.min("_value").alias(low), F.max("_value").alias(high)
     )
 
 

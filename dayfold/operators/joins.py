@@ -24,11 +24,20 @@ def left_join_on(
     Spark splits a hot key on the left of such a join, but not on the right. Say ``hot_right``
     where one key may hold a large part of the right side: matches and misses are then found by
     two joins, an inner one, which splits on both sides, and an anti join against the distinct
-    right keys. This reads both inputs twice, and needs column names that differ.
+    right keys. This reads both inputs twice. The two sides may share column names.
     """
-    condition = reduce(and_, (F.col(mine) == F.col(theirs) for mine, theirs in keys))
-    if not hot_right:
-        return left.join(right, condition, "left")
-    right_keys = right.select(*(F.col(theirs) for _, theirs in keys)).distinct()
-    misses = left.join(right_keys, condition, "left_anti")
-    return left.join(right, condition, "inner").unionByName(misses, allowMissingColumns=True)
+    # names of our own while the sides meet, and the given ones again afterwards
+    ours, theirs = _numbered(left, "_left"), _numbered(right, "_right")
+    at = [(f"_left{left.columns.index(a)}", f"_right{right.columns.index(b)}") for a, b in keys]
+    condition = reduce(and_, (F.col(a) == F.col(b) for a, b in at))
+    if hot_right:
+        misses = ours.join(theirs.select(*(b for _, b in at)).distinct(), condition, "left_anti")
+        met = ours.join(theirs, condition, "inner")
+        joined = met.unionByName(misses, allowMissingColumns=True)
+    else:
+        joined = ours.join(theirs, condition, "left")
+    return joined.toDF(*left.columns, *right.columns)
+
+
+def _numbered(df: DataFrame, prefix: str) -> DataFrame:
+    return df.toDF(*(f"{prefix}{i}" for i in range(len(df.columns))))

@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayfold.functions.columns import own_column
 
@@ -28,17 +29,33 @@ def day_slice(
 ) -> DataFrame:
     """The rows of one day. Prunes to one directory where ``df`` is stored by that column.
 
-    The column may be a date, a timestamp or text that holds a date. A day that holds no rows gives
-    an empty frame; ``strict`` raises for it instead, at the price of one small job.
+    The column may be a date, a timestamp, a whole number such as 20241116, or text that starts
+    with 2024-11-16 or is 20241116; numbers and text are compared in their own spelling. A day that
+    holds no rows gives an empty frame; ``strict`` raises for it instead, at the price of one small
+    job.
     """
-    sliced = df.where(own_column(df, column).cast("date") == F.lit(as_day(day)))
+    value, wanted = own_column(df, column), as_day(day)
+    compact, kind = f"{wanted:%Y%m%d}", df.schema[column].dataType
+    if isinstance(kind, T.IntegralType):
+        match = value == F.lit(int(compact))
+    elif isinstance(kind, T.StringType):
+        match = value.isin(compact, str(wanted)) | value.rlike(f"^{wanted}[ T]")
+    else:
+        match = value.cast("date") == F.lit(wanted)
+    sliced = df.where(match)
     if strict and sliced.isEmpty():
         raise ValueError(f"no rows for {as_day(day)} in column {column!r}")
     return sliced
 
 
 def date_range(df: DataFrame, column: str, end: str | dt.date, days_before: int) -> DataFrame:
-    """The rows from ``days_before`` days before ``end`` up to ``end``, both days included."""
-    last = F.lit(as_day(end))
-    date = own_column(df, column).cast("date")
-    return df.where(date.between(F.date_sub(last, days_before), last))
+    """The rows from ``days_before`` days before ``end`` up to ``end``, both days included. The
+    column is as in ``day_slice``."""
+    last, value, kind = as_day(end), own_column(df, column), df.schema[column].dataType
+    first = last - dt.timedelta(days=days_before)
+    if isinstance(kind, T.IntegralType):
+        return df.where(value.between(int(f"{first:%Y%m%d}"), int(f"{last:%Y%m%d}")))
+    if isinstance(kind, T.StringType):
+        digits = F.left(F.replace(F.left(value, F.lit(10)), F.lit("-")), F.lit(8))
+        return df.where(digits.between(f"{first:%Y%m%d}", f"{last:%Y%m%d}"))
+    return df.where(value.cast("date").between(F.date_sub(F.lit(last), days_before), F.lit(last)))

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The rows dealt out over all cores, if the frame comes in fewer pieces than there are cores.
+def spread(df: DataFrame, pieces: int | None = None) -> DataFrame:
+    """The rows dealt out over ``pieces`` tasks; as they are without a number.
 
-    For frames just read from files, ahead of work that costs far more than a shuffle of its input,
-    such as the word split: a file of one row group is otherwise the work of one task. A frame that
-    fills the cluster anyway stays as it is.
+    For frames just read from a few large files, ahead of work that costs far more than a shuffle
+    of its input, such as the word split: a file of one row group is otherwise the work of one task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df.repartition(pieces) if pieces else df

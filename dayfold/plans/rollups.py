@@ -2,7 +2,8 @@
 
 Two rules hold throughout. Users are counted distinct within one window, by (window, key, user)
 first, so that no key and no user has to fit into one task. Names are joined on after the sums, so
-that a hot key meets its name once per window and not once per row; the exceptions say why.
+that a hot key meets its name once per window and not once per row. A key without a name keeps its
+sums, under a name of NULL, so that the sums over all groups are those of all raw rows.
 
 Raw frames carry ``dt``, the day of the row. All other columns are listed with each function.
 """
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayfold.functions.ratios import money
@@ -27,23 +28,41 @@ def keyword_window(texts: DataFrame, text: str, window: str) -> DataFrame:
     )
 
 
-def funnel_window(events: DataFrame, steps: Mapping[str, str]) -> DataFrame:
-    """Step counts per hour. ``events``: dt, ts, event_type; ``steps``: output column to type."""
+def in_windows(rows: DataFrame, length: str = "1 hour", time: str = "ts") -> DataFrame:
+    """``rows`` with window_start and window_end, the ends of the window their time falls into. A
+    row without a time falls into a window of NULLs."""
+    start = F.window(time, length)["start"]
+    placed = rows.where(F.col(time).isNotNull()).select("*", start.alias("window_start"))
+    timeless = rows.where(F.col(time).isNull()).select(
+        "*", F.lit(None).cast(placed.schema["window_start"].dataType).alias("window_start")
+    )
+    end = F.col("window_start") + F.expr(f"interval {length}")
+    return placed.union(timeless).withColumn("window_end", end)
+
+
+def funnel_window(
+    events: DataFrame, steps: Mapping[str, str], length: str = "1 hour"
+) -> DataFrame:
+    """Step counts per window of ``length``. ``events``: dt, ts, event_type; ``steps``: output
+    column to type."""
     counts = [
         F.count_if(F.col("event_type") == value).alias(column) for column, value in steps.items()
     ]
-    return events.groupBy("dt", F.hour("ts").alias("hour")).agg(*counts)
+    return in_windows(events, length).groupBy("dt", "window_start", "window_end").agg(*counts)
 
 
 def review_window(reviews: DataFrame, courses: DataFrame) -> DataFrame:
-    """Review sums per day and course. ``reviews``: dt, course_id, stars; ``courses``: course_id,
-    course_name. Each review counts one user."""
-    sums = reviews.groupBy("dt", "course_id").agg(
-        F.sum("stars").alias("review_stars"),
-        F.count("*").alias("uv"),
-        F.count_if(F.col("stars") == 5).alias("star5"),
-    )
-    return sums.join(courses, "course_id").select(
+    """Review sums per day and course. ``reviews``: dt, course_id, user_id, stars; ``courses``:
+    course_id, course_name. A user who reviews a course twice on a day counts once."""
+    per_user = reviews.groupBy("dt", "course_id", "user_id").agg(
+        F.sum("stars").alias("review_stars"), F.count_if(F.col("stars") == 5).alias("star5")
+    )
+    sums = per_user.groupBy("dt", "course_id").agg(
+        F.sum("review_stars").alias("review_stars"),
+        F.count("user_id").alias("uv"),
+        F.sum("star5").alias("star5"),
+    )
+    return sums.join(courses, "course_id", "left").select(
         "dt", "course_id", "course_name", "review_stars", "uv", "star5"
     )
 
@@ -60,7 +79,7 @@ def region_trade_window(
         F.sum(money(F.col("amount"))).alias("final_amount"), F.count("*").alias("order_count")
     )
     per_region = (
-        per_user.join(users, "user_id")
+        per_user.join(users, "user_id", "left")
         .groupBy("dt", "region_id")
         .agg(
             F.sum("final_amount").cast("decimal(28,2)").alias("final_amount"),
@@ -68,7 +87,7 @@ def region_trade_window(
             F.sum("order_count").alias("order_count"),
         )
     )
-    return per_region.join(regions, "region_id").select(
+    return per_region.join(regions, "region_id", "left").select(
         "dt", "province_name", "final_amount", "uu_order_count", "order_count"
     )
 
@@ -87,39 +106,37 @@ def exam_window(views: DataFrame, papers: DataFrame) -> DataFrame:
     user_id, score, duration_sec; ``papers``: paper_id, paper_title, course_id, course_name.
 
     A user of several papers of one course counts for the course once a day, on the lowest paper
-    id, so that ``course_user_count`` adds up over the papers of a course. The course part hangs on
-    a left join with unique keys, which Spark leaves out for a report that does not ask for it.
+    id, so that ``course_user_count`` adds up over the papers of a course. Papers without a course
+    count as those of one course. All comes from one pass over (day, paper, user); the window that
+    marks the paper is left out by Spark for a report that does not ask for it.
     """
-    per_paper = views.groupBy("dt", "paper_id").agg(
+    per_user = views.groupBy("dt", "paper_id", "user_id").agg(
         F.sum("score").alias("score"),
         F.sum("duration_sec").alias("duration_sec"),
         F.count("*").alias("view_count"),
-        F.countDistinct("user_id").alias("paper_user_count"),
     )
-    # The course decides which rows belong together here, so it is joined on before the sums.
-    course_users = (
-        views.where(F.col("user_id").isNotNull())
-        .join(papers.select("paper_id", "course_id"), "paper_id")
-        .groupBy("dt", "course_id", "user_id")
-        .agg(F.min("paper_id").alias("paper_id"))
-        .groupBy("dt", "paper_id")
-        .agg(F.count("*").alias("course_user_count"))
+    # A missing user has one row per day and paper here, so it forms no large window either.
+    per_course = Window.partitionBy("dt", "course_id", "user_id").orderBy("paper_id")
+    counted = (F.row_number().over(per_course) == 1) & F.col("user_id").isNotNull()
+    placed = per_user.join(papers.select("paper_id", "course_id"), "paper_id", "left")
+    sums = placed.withColumn("_counted", counted).groupBy("dt", "paper_id").agg(
+        F.sum("score").alias("score"),
+        F.sum("duration_sec").alias("duration_sec"),
+        F.sum("view_count").alias("view_count"),
+        F.count("user_id").alias("paper_user_count"),
+        F.count_if("_counted").alias("course_user_count"),
     )
-    return (
-        per_paper.join(course_users, ["dt", "paper_id"], "left")
-        .join(papers, "paper_id")
-        .select(
-            "dt",
-            "paper_id",
-            "paper_title",
-            "course_id",
-            "course_name",
-            "paper_user_count",
-            F.coalesce("course_user_count", F.lit(0)).alias("course_user_count"),
-            "view_count",
-            "score",
-            "duration_sec",
-        )
+    return sums.join(papers, "paper_id", "left").select(
+        "dt",
+        "paper_id",
+        "paper_title",
+        "course_id",
+        "course_name",
+        "paper_user_count",
+        "course_user_count",
+        "view_count",
+        "score",
+        "duration_sec",
     )
 
 
@@ -133,7 +150,7 @@ def score_range_window(views: DataFrame, papers: DataFrame, width: int = 10) ->
     )
     ends = F.col("score_low").cast("string"), (F.col("score_low") + (width - 1)).cast("string")
     label = F.concat(ends[0], F.lit("-"), ends[1])
-    return counts.join(papers, "paper_id").select(
+    return counts.join(papers, "paper_id", "left").select(
         "dt", "paper_id", "paper_title", label.alias("score_range"), "uv"
     )
 
@@ -153,7 +170,7 @@ def answer_window(answers: DataFrame, questions: DataFrame) -> DataFrame:
         F.count(F.when(F.col("correct_count") > 0, F.col("user_id"))).alias("correct_uu_count"),
         F.count("user_id").alias("uu_count"),
     )
-    return sums.join(questions, "question_id").select(
+    return sums.join(questions, "question_id", "left").select(
         "dt",
         "question_id",
         "question_txt",

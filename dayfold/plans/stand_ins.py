@@ -2,7 +2,7 @@
 
 =============  ==========================================================================
 funnel steps   ``events``: view, click, signup, purchase, error
-review         ``lineitem``: course = part, stars = order key modulo 5, plus 1
+review         ``lineitem``: course = part, user = supplier, stars = order key modulo 5, plus 1
 trade          ``orders``: user = customer, province = the customer's nation
 exam view      ``lineitem``: paper = supplier, course = its nation, user = order,
                score = quantity, seconds = order key
@@ -44,7 +44,8 @@ def events(spark: SparkSession, folder: str, day: str | None = None) -> DataFram
 
 
 def documents(spark: SparkSession, folder: str, key: str) -> DataFrame:
-    return spread(load(spark, folder, "documents").select(key, "text"))
+    pieces = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spread(load(spark, folder, "documents").select(key, "text"), pieces)
 
 
 def orders(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
@@ -73,7 +74,7 @@ def papers(spark: SparkSession, folder: str) -> DataFrame:
     )
     return (
         load(spark, folder, "supplier")
-        .join(nations, "s_nationkey")
+        .join(nations, "s_nationkey", "left")
         .select(
             F.col("s_suppkey").alias("paper_id"),
             F.col("s_name").alias("paper_title"),
@@ -95,8 +96,8 @@ def keyword_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_rollup(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
-    """Words per day: the type of an event is the text."""
-    return rollups.keyword_window(events(spark, folder, day), "event_type", window="dt")
+    """Words per day: the properties of an event are the text."""
+    return rollups.keyword_window(events(spark, folder, day), "props", window="dt")
 
 
 def funnel_rollup(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
@@ -107,6 +108,7 @@ def review_rollup(spark: SparkSession, folder: str, day: str | None = None) -> D
     reviews = load(spark, folder, "lineitem").select(
         _date("l_shipdate"),
         F.col("l_partkey").alias("course_id"),
+        F.col("l_suppkey").alias("user_id"),
         (F.col("l_orderkey") % 5 + 1).alias("stars"),
     )
     courses = _parts(spark, folder, "course_id", "course_name")
@@ -145,5 +147,5 @@ def answer_rollup(spark: SparkSession, folder: str, day: str | None = None) -> D
     takers = load(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id")
     )
-    answers = _on(lines, day).join(takers, "order_id")
+    answers = _on(lines, day).join(takers, "order_id", "left")
     return rollups.answer_window(answers, _parts(spark, folder, "question_id", "question_txt"))

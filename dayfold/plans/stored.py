@@ -24,9 +24,11 @@ STORED_REPORTS = {
 }
 
 
-def store(rollup: DataFrame, database: str, table: str) -> None:
-    """Append the rows of a rollup to its table, by column name."""
-    tables.append(rollup, f"{database}.{table}")
+def store(rollup: DataFrame, database: str, table: str, replace: bool = False) -> None:
+    """Append the rows of a rollup to its table, by column name; with ``replace``, in place of what
+    the table holds of their days."""
+    write = tables.replace_days if replace else tables.append
+    write(rollup, f"{database}.{table}")
 
 
 def stored_report(

@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_own_folders: dict[str, str] = {}
-
-
 def local_session(cores: str | int = 8, app: str = "dayfold", **settings: str) -> SparkSession:
     """A local session for tests and the benchmark. On a cluster the caller brings the session."""
     builder = (
@@ -31,17 +27,14 @@ def local_session(cores: str | int = 8, app: str = "dayfold", **settings: str) -
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it then gets a folder of its own.
+    Only a local session may go without the setting; it then uses its warehouse folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not (spark.conf.get("spark.master", None) or "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    app = spark.conf.get("spark.app.id")
-    if app not in _own_folders:
-        _own_folders[app] = "file:" + tempfile.mkdtemp(prefix="dayfold-")
-    return _own_folders[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:

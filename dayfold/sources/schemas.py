@@ -12,7 +12,8 @@ ROLLUP_SCHEMAS: dict[str, str] = {
     "keyword": "keyword string, keyword_count bigint, dt date",
     "funnel": (
         "home_count bigint, course_detail_count bigint, cart_add_count bigint, "
-        "order_count bigint, pay_success_count bigint, dt date"
+        "order_count bigint, pay_success_count bigint, "
+        "window_start timestamp_ntz, window_end timestamp_ntz, dt date"
     ),
     "review": (
         "course_id bigint, course_name string, review_stars bigint, uv bigint, star5 bigint, "

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from dayfold.functions.columns import own_column
 from dayfold.sources.schemas import ROLLUP_SCHEMAS
 
 
@@ -34,12 +35,21 @@ def create_table(
     )
 
 
-def create_rollup_tables(spark: SparkSession, database: str) -> list[str]:
-    """Create every rollup table in ``database``, those with a ``dt`` partitioned by it."""
-    for table, columns in ROLLUP_SCHEMAS.items():
+def create_rollup_tables(
+    spark: SparkSession, database: str, names: Iterable[str] = tuple(ROLLUP_SCHEMAS)
+) -> list[str]:
+    """Create rollup tables in ``database``, all or those named, each with a ``dt`` by it."""
+    made = list(names)
+    for table in made:
+        columns = ROLLUP_SCHEMAS[table]
         by = ["dt"] if columns.endswith("dt date") else []
         create_table(spark, f"{database}.{table}", columns, by)
-    return list(ROLLUP_SCHEMAS)
+    return made
+
+
+def drop_database(spark: SparkSession, name: str) -> None:
+    """Drop a database with all its tables, if it exists."""
+    spark.sql(f"DROP DATABASE IF EXISTS {_quoted(name)} CASCADE")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
@@ -52,15 +62,39 @@ def append_rows(spark: SparkSession, name: str, rows: Iterable[tuple]) -> None:
     spark.createDataFrame(list(rows), schema).write.insertInto(name)
 
 
-def append(df: DataFrame, name: str) -> None:
-    """Append a frame by column name, with a few files per day where the table is stored by day."""
-    table = df.sparkSession.table(name)
-    columns = [df[f"`{c}`"] for c in table.columns]
-    rows = df.select(*columns)
+def _for_table(df: DataFrame, name: str) -> tuple[DataFrame, list[str]]:
+    """The columns of ``df`` in the order of the table's, and the columns that it is stored by."""
+    columns = df.sparkSession.table(name).columns
+    if strangers := [c for c in df.columns if c not in columns]:
+        raise ValueError(f"table {name} has no columns {strangers}")
+    rows = df.select(*(own_column(df, c) for c in columns))
     stored_by = [c.name for c in df.sparkSession.catalog.listColumns(name) if c.isPartition]
-    if stored_by:
-        rows = rows.hint("rebalance", *stored_by)
-    rows.write.insertInto(name)
+    return rows.hint("rebalance", *stored_by) if stored_by else rows, stored_by
+
+
+def append(df: DataFrame, name: str) -> None:
+    """Append a frame by column name, with a few files per day where the table is stored by day.
+
+    Raises for a column that the table lacks, and for one that the frame lacks.
+    """
+    _for_table(df, name)[0].write.insertInto(name)
+
+
+def replace_days(df: DataFrame, name: str) -> None:
+    """Write a frame in place of the days it holds, so that loading a day again changes nothing.
+
+    Other days stay. The table has to be stored by day.
+    """
+    rows, stored_by = _for_table(df, name)
+    if not stored_by:
+        raise ValueError(f"table {name} is not stored by day")
+    conf, mode = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(mode)
+    conf.set(mode, "dynamic")
+    try:
+        rows.write.insertInto(name, overwrite=True)
+    finally:
+        conf.set(mode, before)
 
 
 def write_by_day(df: DataFrame, path: str, day: str = "dt") -> None:

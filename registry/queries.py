@@ -7,6 +7,7 @@ as the daily report does, and under ``<name>_range`` over a range of dates.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from dayfold.operators.words import (
     split_words_dict,
 )
 from dayfold.plans import reports, rollups, stand_ins
-from dayfold.plans.stored import store, stored_report
+from dayfold.plans.stored import STORED_REPORTS, store, stored_report
 from dayfold.session import fresh_folder
 from dayfold.sources import tables
 from dayfold.sources.tables import load
@@ -95,17 +96,51 @@ def _fresh_database(spark: SparkSession) -> str:
 def funnel_totals_stored(spark: SparkSession, folder: str) -> DataFrame:
     """The funnel rollup of all days stored by day, then the report of one day."""
     database = _fresh_database(spark)
-    tables.create_rollup_tables(spark, database)
+    tables.create_rollup_tables(spark, database, ["funnel"])
     store(stand_ins.funnel_rollup(spark, folder), database, "funnel")
     return stored_report(spark, database, "funnel_totals", EVENT_DAY)
 
 
+def _loaded_daily(
+    spark: SparkSession, folder: str, report: str, rollup: Callable[..., DataFrame], day: str
+) -> DataFrame:
+    """The stored report of a day, as daily loads leave it: the day before, the day, and the day a
+    second time. The caller may drop the database once the result is read."""
+    database, table = _fresh_database(spark), STORED_REPORTS[report][0]
+    tables.create_rollup_tables(spark, database, [table])
+    before = str(date.fromisoformat(day) - timedelta(days=1))
+    for load_of in (before, day, day):
+        store(rollup(spark, folder, load_of), database, table, replace=True)
+    return stored_report(spark, database, report, day)
+
+
+def totals_by_date_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The trade rollup of all days, one row each, and the report of a range of them."""
+    database = _fresh_database(spark)
+    tables.create_rollup_tables(spark, database, ["daily_trade"])
+    store(stand_ins.daily_trade_rollup(spark, folder), database, "daily_trade")
+    return stored_report(spark, database, "totals_by_date", RANGE_END, 3)
+
+
+def _stored_queries() -> dict[str, Query]:
+    """The other daily reports over stored tables."""
+    loads = {name: (rollup, day) for name, (_, rollup, day) in REPORTS.items() if day}
+    loads["keyword_totals"] = (stand_ins.search_rollup, EVENT_DAY)
+    del loads["funnel_totals"]
+    return {
+        f"{name}_stored": lambda s, d, name=name, rollup=rollup, day=day: _loaded_daily(
+            s, d, name, rollup, day
+        )
+        for name, (rollup, day) in loads.items()
+    }
+
+
 def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Drop, create, append a frame, append one row, append many rows, read back."""
     name = f"{_fresh_database(spark)}.changes"
     tables.drop_table(spark, name)
     for _ in range(2):
-        tables.create_table(spark, name, "id bigint, add_time varchar(20), state string")
+        tables.create_table(spark, name, "id bigint, add_time varchar(20), state string")  # fixed values
     tables.append(
         load(spark, folder, "orders").select(
             F.col("o_orderkey").alias("id"),
@@ -183,6 +218,16 @@ def additive_users(spark: SparkSession, folder: str) -> DataFrame:
     return daily.groupBy("event_type").agg(F.sum("uv").alias("users_summed"))
 
 
+def additive_users_hourly_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct users of each hour and event type of one day, added up over the hours."""
+    hourly = rollups.users_window(
+        rollups.in_windows(stand_ins.events(spark, folder, EVENT_DAY)),
+        ["window_start", "event_type"],
+        user="user_id",
+    )
+    return hourly.groupBy("event_type").agg(F.sum("uv").alias("users_summed"))
+
+
 def document_words(spark: SparkSession, folder: str) -> DataFrame:
     return split_words(stand_ins.documents(spark, folder, "doc_id"), "text", keep=["doc_id"])
 
@@ -230,6 +275,8 @@ QUERIES: dict[str, Query] = {
     "scan_pruned": scan_pruned,
     "partition_scan": partition_scan,
     "funnel_totals_stored": funnel_totals_stored,
+    **_stored_queries(),
+    "totals_by_date_stored": totals_by_date_stored,
     "table_roundtrip": table_roundtrip,
     "filter_date_between": filter_date_between,
     "left_join_two_keys": left_join_two_keys,
@@ -239,4 +286,5 @@ QUERIES: dict[str, Query] = {
     "cast_decimal_ratio": cast_decimal_ratio,
     "cast_bigint_ratio": cast_bigint_ratio,
     "additive_users": additive_users,
+    "additive_users_hourly_day": additive_users_hourly_day,
 }

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from dayfold.operators.history import first_last_state, min_max_by_key
 from dayfold.operators.joins import left_join_on
 
-COLUMNS = "id bigint, add_time varchar(20), state bigint"
 
 # Nine changes of three ids.
 CHANGES = [
@@ -196,3 +195,17 @@ def test_left_join_splits_a_hot_key_on_the_right(spark, settings):
     assert split.count() == left_join_on(left, right, keys).count()
     split.collect()
     assert "skew=true" in plan_of(split)
+
+
+@pytest.mark.parametrize("hot_right", [False, True])
+def test_left_join_of_sides_that_share_names(spark, hot_right):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k bigint, v string")
+    right = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z")], "k bigint, v string")
+    joined = left_join_on(left, right, [("k", "k")], hot_right)
+    assert joined.columns == ["k", "v", "k", "v"]
+    assert rows_of(joined) == [
+        (None, "c", None, None),
+        (1, "a", 1, "x"),
+        (1, "a", 1, "y"),
+        (2, "b", None, None),
+    ]

@@ -34,6 +34,7 @@ def test_the_day_reaches_every_large_scan(spark, sf_dir, name):
     table, column = {
         "funnel_totals_day": ("events", "ts"),
         "keyword_totals_day": ("events", "ts"),
+        "additive_users_hourly_day": ("events", "ts"),
         "totals_by_region_day": ("orders", "o_orderdate"),
     }.get(name, ("lineitem", "l_shipdate"))
     scans = [s for s in plan_of(df).splitlines() if "FileScan" in s]
@@ -48,9 +49,21 @@ def test_scans_read_only_what_they_need(spark, sf_dir):
     assert "ReadSchema: struct<l_orderkey:bigint,l_shipdate:timestamp_ntz>" in plan
 
 
-def test_paper_report_leaves_out_the_course_part(spark, sf_dir):
-    plan = plan_of(QUERIES["exam_by_paper"](spark, sf_dir))
-    assert "LeftOuter" not in plan and len(re.findall(r"FileScan.*l_suppkey", plan)) == 1
+def test_exam_reports_take_one_scan(spark, sf_dir):
+    by_paper = plan_of(QUERIES["exam_by_paper"](spark, sf_dir))
+    by_course = plan_of(QUERIES["exam_by_course"](spark, sf_dir))
+    assert len(re.findall(r"FileScan.*l_suppkey", by_paper)) == 1 and "Window" not in by_paper
+    assert len(re.findall(r"FileScan.*l_suppkey", by_course)) == 1 and "Window" in by_course
+
+
+def test_text_is_hashed_before_it_is_sorted(spark, sf_dir):
+    plan = plan_of(QUERIES["min_max_by_key"](spark, sf_dir))
+    assert "SortAggregate" not in plan.split("FileScan")[0].rsplit("Exchange", 1)[1]
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.endswith("_stored") and n != "totals_by_date_stored"])
+def test_stored_reports_read_one_partition(spark, sf_dir, name):
+    assert "PartitionFilters: [isnotnull(dt" in plan_of(QUERIES[name](spark, sf_dir))
 
 
 def test_partition_scan_prunes(spark, sf_dir):

@@ -17,8 +17,10 @@ from dayfold.plans import stored as stored_module
 from dayfold.session import fresh_folder
 from dayfold.sources import tables
 from dayfold.sources.schemas import ROLLUP_SCHEMAS
+from registry.queries import QUERIES
 
 D1, D2 = dt.date(2024, 11, 15), dt.date(2024, 11, 16)
+D1T = dt.datetime(2024, 11, 15, 7)
 
 BY_TABLE = {
     "keyword": reports.keyword_totals,
@@ -77,7 +79,9 @@ def test_keyword_totals(spark):
 
 
 def test_funnel_totals(spark):
-    rows = [(1, 2, 3, 4, 5, D1), (10, 20, 30, 40, None, D1), (9, 9, 9, 9, 9, D2)]
+    hour, no_hour = (D1T, D1T + dt.timedelta(hours=1)), (None, None)
+    rows = [(1, 2, 3, 4, 5, *hour, D1), (10, 20, 30, 40, None, *no_hour, D1)]
+    rows += [(9, 9, 9, 9, 9, *hour, D2)]
     rollup = stored(spark, "funnel", rows)
     assert rows_of(reports.funnel_totals(day_slice(rollup, D1))) == [(11, 22, 33, 44, 5)]
 
@@ -137,7 +141,7 @@ def random_views(seed):
     pick = random.Random(seed)
     return [
         (
-            pick.choice([D1, D2]),
+            pick.choice([D1, D2, None]),
             pick.choice([1, 2, 3, 4]),
             pick.choice([None, 10, 11, 12]),
             pick.randint(1, 50),
@@ -154,37 +158,40 @@ PAPERS = [(1, "p1", 7, "c"), (2, "p2", 7, "c"), (3, "p3", 8, "d")]
 
 @pytest.mark.parametrize("seed", range(3))
 def test_exam_users_against_brute_force(spark, seed):
-    """A user counts once per day and paper, and once per day and course; paper 4 is unknown."""
+    """A user counts once per day and paper, and once per day and course; paper 4 has no name and
+    no course, and some rows have no day."""
     views = random_views(seed)
     rollup = rollups.exam_window(
         spark.createDataFrame(views, VIEW), spark.createDataFrame(PAPERS, PAPER)
     )
     course = {p[0]: p[2] for p in PAPERS}
-    known = [v for v in views if v[1] in course]
 
     def users(key):
-        return sum(len({v[2] for v in known if (v[0], key(v)) == k and v[2]}) for k in keys(key))
+        return sum(len({v[2] for v in views if (v[0], key(v)) == k and v[2]}) for k in keys(key))
 
     def keys(key):
-        return {(v[0], key(v)) for v in known}
+        return {(v[0], key(v)) for v in views}
 
     by_paper = reports.exam_by_paper(rollup).collect()
     by_course = reports.exam_by_course(rollup).collect()
-    assert {r.paper_id for r in by_paper} == set(course)
+    assert {r.paper_id for r in by_paper} == {v[1] for v in views}
+    assert {r.paper_title for r in by_paper if r.paper_id == 4} == {None}
     assert sum(r.uv for r in by_paper) == users(lambda v: v[1])
-    assert sum(r.uv for r in by_course) == users(lambda v: course[v[1]])
+    assert sum(r.uv for r in by_course) == users(lambda v: course.get(v[1]))
     for r in by_course:
-        rows = [v for v in known if course[v[1]] == r.course_id]
+        rows = [v for v in views if course.get(v[1]) == r.course_id]
         assert r.avg_score == pytest.approx(sum(v[3] for v in rows) / len(rows))
         assert r.avg_duration_sec == int(sum(v[4] for v in rows) / len(rows))
-    assert rollup.count() == len({(v[0], v[1]) for v in known})
+    assert rollup.count() == len({(v[0], v[1]) for v in views})
+    for column, value in (("score", 3), ("duration_sec", 4)):
+        assert sum(r[column] for r in rollup.collect()) == sum(v[value] for v in views)
 
 
 @pytest.mark.parametrize("seed", range(3))
 def test_answer_users_against_brute_force(spark, seed):
     pick = random.Random(seed)
     answers = [
-        (D1, pick.choice([1, 2]), pick.choice([None, 5, 6, 7]), pick.choice([True, False, None]))
+        (pick.choice([D1, None]), pick.choice([1, 2, 9]), pick.choice([None, 5, 6, 7]), pick.choice([True, False, None]))
         for _ in range(40)
     ]
     rollup = rollups.answer_window(
@@ -193,14 +200,48 @@ def test_answer_users_against_brute_force(spark, seed):
         ),
         spark.createDataFrame([(1, "q"), (2, "r")], "question_id bigint, question_txt string"),
     )
+    assert sum(r["count"] for r in rollup.collect()) == len(answers)
     for r in rollup.collect():
-        rows = [a for a in answers if a[1] == r.question_id]
+        rows = [a for a in answers if a[:2] == (r.dt, r.question_id)]
         assert r["count"] == len(rows)
         assert r.correct_count == sum(a[3] is True for a in rows)
         assert r.uu_count == len({a[2] for a in rows if a[2]})
         assert r.correct_uu_count == len({a[2] for a in rows if a[2] and a[3]})
 
 
+def test_unnamed_keys_keep_their_sums(spark):
+    reviews = [(D1, 1, 5, 4), (D1, 1, 5, 5), (D1, 1, 6, 1), (D1, 9, 5, 2), (None, 1, 5, 3)]
+    rollup = rollups.review_window(
+        spark.createDataFrame(reviews, "dt date, course_id bigint, user_id bigint, stars bigint"),
+        spark.createDataFrame([(1, "x")], "course_id bigint, course_name string"),
+    )
+    found = {(r.dt, r.course_id, r.course_name): (r.review_stars, r.uv, r.star5) for r in rollup.collect()}
+    assert found == {
+        (D1, 1, "x"): (10, 2, 1),
+        (D1, 9, None): (2, 1, 0),
+        (None, 1, "x"): (3, 1, 0),
+    }
+    orders = [(D1, 1, 2.0), (D1, 2, 3.0), (D1, 3, 4.0), (None, 1, 1.0), (D1, None, 8.0)]
+    trade = rollups.region_trade_window(
+        spark.createDataFrame(orders, "dt date, user_id bigint, amount double"),
+        spark.createDataFrame([(1, 7), (2, 8)], "user_id bigint, region_id bigint"),
+        spark.createDataFrame([(7, "p")], "region_id bigint, province_name string"),
+    )
+    totals = rows_of(reports.totals_by_region(trade))
+    assert totals == [(None, Decimal("15.00"), 2, 3), ("p", Decimal("3.00"), 2, 2)]
+
+
+def test_windows_inside_the_day(spark, sf_dir):
+    """A user seen in two hours of a day counts twice in the hourly rollup and once in the daily."""
+    rows = [(1, "2024-11-15 07:10:00"), (1, "2024-11-15 07:50:00"), (1, "2024-11-15 08:00:00"), (2, None)]
+    events = spark.createDataFrame(rows, "user_id bigint, t string").withColumn("ts", F.to_timestamp_ntz("t"))
+    hourly = rollups.users_window(rollups.in_windows(events), ["window_start", "window_end"], "user_id")
+    assert rows_of(hourly) == [(None, None, 1)] + [(D1T + dt.timedelta(hours=i), D1T + dt.timedelta(hours=i + 1), 1) for i in (0, 1)]
+    quarter = rollups.in_windows(events, "15 minutes").select("window_start").distinct()
+    assert quarter.count() == 4
+    assert QUERIES["additive_users_hourly_day"](spark, sf_dir).agg(F.sum("users_summed")).first()[0] >= 1
+
+
 def test_score_ranges(spark):
     views = [(D1, 1, u, s, 0) for u, s in ((1, 1), (2, 10), (3, 11), (3, 12), (4, 50), (5, None))]
     rollup = rollups.score_range_window(
@@ -248,7 +289,7 @@ def test_users_are_additive_not_distinct(spark, sf_dir):
 
 STORED_ROWS = {
     "keyword": ("w", 2),
-    "funnel": (1, 2, 3, 4, 5),
+    "funnel": (1, 2, 3, 4, 5, None, None),
     "review": (1, "x", 9, 2, 1),
     "region_trade": ("p", Decimal("1.10"), 1, 2),
     "exam": (1, "p1", 7, "c", 2, 2, 2, 150, 27),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from dayfold.functions.columns import own_column
 from dayfold.functions.ratios import money, ratio, ratio_2dp, ratio_whole
 from dayfold.operators.slices import as_day, date_range, day_slice
+from dayfold.session import fresh_folder
 
 
 @pytest.fixture
@@ -51,6 +52,23 @@ def test_date_range_holds_both_ends(days):
     assert sorted(r.n for r in date_range(days, "dt", "2024-11-17", 3).collect()) == [14, 16, 17]
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint", "string"])
+def test_a_day_in_the_spelling_of_the_column(spark, kind):
+    rows = spark.createDataFrame([("20241115",), ("20241116",), ("20241117",), (None,)], "t string")
+    rows = rows.select(F.col("t").cast(kind).alias("dt"))
+    assert [str(r[0]) for r in day_slice(rows, "2024-11-16").collect()] == ["20241116"]
+    assert [str(r[0]) for r in date_range(rows, "dt", "par20241117", 1).collect()] == ["20241116", "20241117"]
+
+
+def test_partitions_of_whole_numbers_are_pruned(spark):
+    path = fresh_folder(spark, "numbered")
+    rows = spark.createDataFrame([(1, 20241115), (2, 20241116)], "n int, dt int")
+    rows.write.partitionBy("dt").parquet(path)
+    found = day_slice(spark.read.parquet(path), "par20241116")
+    assert [r.n for r in found.collect()] == [2]
+    assert "PartitionFilters: [isnotnull(dt" in plan_of(found)
+
+
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "string"])
 def test_a_day_of_timestamps_or_text_is_the_whole_day(spark, kind):
     times = ["2024-11-15 23:59:59", "2024-11-16 00:00:00", "2024-11-16 23:59:59"]

@@ -24,7 +24,7 @@ def database(spark):
     spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
-def test_lifecycle(spark, database):
+def test_lifecycle(spark, database):  # the columns and the text below are fixed values
     name = f"{database}.changes"
     tables.drop_table(spark, name)
     tables.create_table(spark, name, "id bigint, add_time varchar(20), state bigint")
@@ -55,6 +55,38 @@ def test_append_goes_by_column_name(spark, database):
     assert rows_of(spark.table(name)) == [(1, 2)]
 
 
+def test_append_raises_on_a_column_the_table_lacks(spark, database):
+    name = f"{database}.narrow"
+    tables.create_table(spark, name, "a bigint")
+    with pytest.raises(ValueError, match="extra"):
+        tables.append(spark.range(1).select(F.lit(1).alias("a"), F.lit(2).alias("extra")), name)
+    with pytest.raises(ValueError, match="no column"):
+        tables.append(spark.range(1), name)
+
+
+def test_a_day_loaded_twice_is_there_once(spark, database):
+    tables.create_rollup_tables(spark, database, ["keyword"])
+    name, schema = f"{database}.keyword", ROLLUP_SCHEMAS["keyword"]
+    days = [dt.date(2024, 11, 15), dt.date(2024, 11, 16)]
+    tables.replace_days(spark.createDataFrame([("a", 1, d) for d in days], schema), name)
+    for _ in range(2):
+        tables.replace_days(spark.createDataFrame([("a", 5, days[1]), ("b", 2, days[1])], schema), name)
+    assert rows_of(spark.table(name)) == [("a", 1, days[0]), ("a", 5, days[1]), ("b", 2, days[1])]
+    tables.create_table(spark, f"{database}.flat", "a bigint")
+    with pytest.raises(ValueError, match="not stored by day"):
+        tables.replace_days(spark.range(1).withColumnRenamed("id", "a"), f"{database}.flat")
+
+
+def test_drop_database(spark):
+    location = session.fresh_folder(spark, "database")
+    name = "gone_" + location.rsplit("-", 1)[-1]
+    tables.create_database(spark, name, location)
+    tables.create_table(spark, f"{name}.t", "a bigint")
+    tables.drop_database(spark, name)
+    tables.drop_database(spark, name)
+    assert not spark.catalog.databaseExists(name)
+
+
 def test_rollup_tables_are_stored_by_day(spark, database):
     assert tables.create_rollup_tables(spark, database) == list(ROLLUP_SCHEMAS)
     name = f"{database}.keyword"
@@ -118,6 +150,6 @@ def test_a_cluster_must_name_the_shared_folder():
         session.shared_folder(Conf({"spark.master": "spark://host:7077"}))
 
 
-def test_a_local_session_gets_one_folder_of_its_own():
-    local = Conf({"spark.master": "local[2]", "spark.app.id": "app-1"})
-    assert session.shared_folder(local) == session.shared_folder(local)
+def test_a_local_session_uses_its_warehouse():
+    local = Conf({"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/somewhere/"})
+    assert session.shared_folder(local) == "file:/somewhere"
