@@ -38,7 +38,8 @@ FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r) LEFT JOIN longest USI
 _REPEATS = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
 h AS (SELECT r, doc_id, hex(b) AS x, octet_length(b) AS n FROM d),
-s AS (SELECT r, doc_id, i, x[2 * i + 1 : 2 * i + 100] AS v FROM (SELECT r, doc_id, x, unnest(range(0, n - 49)) AS i FROM h WHERE n >= 50)),
+cut AS (SELECT r, doc_id, n, o, substr(x, 2 * o + 1, 1122) AS y FROM (SELECT r, doc_id, x, n, unnest(range(0, n - 49, 512)) AS o FROM h WHERE n >= 50)),
+s AS (SELECT r, doc_id, o + i AS i, substr(y, 2 * i + 1, 100) AS v FROM (SELECT r, doc_id, o, y, unnest(range(0, least(512, n - 49 - o))) AS i FROM cut)),
 low AS (SELECT md5(v) AS m, min(coalesce(doc_id, 9223372036854775807)) AS doc FROM s GROUP BY 1),
 hit AS (SELECT r, i FROM s JOIN low ON md5(v) = m WHERE coalesce(doc_id, 9223372036854775807) > doc),
 edges AS (SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) AS gap FROM hit),
