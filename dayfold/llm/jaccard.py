@@ -342,7 +342,7 @@ def near_documents(docs: DataFrame, words: int = WORDS, percent: int = 75) -> Da
     if not large.isEmpty():
         big = stored(placed.join(large, F.col("region") == F.col("large"), "left_semi"), "large-sets")
         links = links.union(_large_links(big, percent))
-    found = components(links)
+    found = components(links, native=True)  # links come as stars of pivots
     named = sets.join(found, F.col("name") == found["id"], "left").select("doc_id", "n_shingles", "class", F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "name")).alias("group"))
     low = named.where("group is not null").groupBy(F.col("group").alias("_group")).agg(F.min("class").alias("low"))
     out = named.join(low, F.col("group") == F.col("_group"), "left").select("doc_id", "n_shingles", "class", F.coalesce("low", "doc_id").alias("component_id"))
