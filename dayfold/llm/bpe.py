@@ -207,9 +207,19 @@ class WordTokenizer:
         chunk = self.chunks
         return [e for c in text.replace("\n", " ").split(" ") if c and (e := chunk(c))[0]]
 
+    def spelled(self, text: str) -> str:
+        """The byte letters of the words of ``text``, each with its end-of-word mark, and the special tokens between."""
+        marks = self.cut.findall(text) if self.cut is not None else []
+        found = []
+        for plain, mark in zip(self.cut.split(text) if marks else [text], [*marks, ""], strict=True):
+            for chunk in plain.replace("\n", " ").split(" "):
+                found += ["".join([self.letters[b] for b in w.encode()]) + self.suffix for w in self.pattern.findall(self.normalized(chunk))]
+            found.append(mark)
+        return "".join(found)
+
     def check(self, text: str, ids: list[int]) -> None:
-        """The decoded ids spell the parts of ``text`` that were encoded."""
-        if self.decode(ids) != " ".join([labels for _, _, labels in self.parts(text)]):
+        """The decoded ids spell the words of ``text``, letter by letter."""
+        if "".join([self.labels[i] for i in ids]) != self.spelled(text):
             raise ValueError("ids do not decode to the encoded words")
 
     def encode(self, text: str) -> list[int]:
