@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfold.llm import bpe, chat, decontaminate, fuzzy_lines, jaccard, near_vectors, quality, repeats, token_counts, warc
+from dayfold.llm import bpe, chat, decontaminate, fuzzy_lines, jaccard, merkle, near_vectors, quality, repeats, token_counts, warc
 from dayfold.llm.common import table
 
 
@@ -71,6 +71,16 @@ def near_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    changed = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    one_more = F.when(changed, F.col("n_chars").cast("decimal(20,0)") + 1).otherwise(F.col("n_chars"))
+    claimed = [one_more if name == "n_chars" else F.col(name) for name in names]
+    made = merkle.build(docs, "doc_id", "lang", [F.col(name) for name in names], claimed)
+    return merkle.audit(made).withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {
     "op1_decontamination": decontamination,
     "op2_quality": quality_scores,
@@ -82,4 +92,5 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join,
     "op9_warc_revisits": warc_revisits,
     "op10_near_embeddings": near_embeddings,
+    "op12_merkle_manifest": merkle_manifest,
 }
