@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfold.llm import bpe, chat, decontaminate, fuzzy_lines, jaccard, merkle, near_vectors, quality, repeats, token_counts, warc
+from dayfold.llm import bpe, chat, decontaminate, fuzzy_lines, jaccard, merkle, near_vectors, phrases, quality, repeats, token_counts, warc
 from dayfold.llm.common import table
 
 
@@ -81,6 +81,10 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.audit(made).withColumnRenamed("key", "doc_id")
 
 
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
 QUERIES = {
     "op1_decontamination": decontamination,
     "op2_quality": quality_scores,
@@ -93,4 +97,5 @@ QUERIES = {
     "op9_warc_revisits": warc_revisits,
     "op10_near_embeddings": near_embeddings,
     "op12_merkle_manifest": merkle_manifest,
+    "op13_collocations": phrase_collocations,
 }
