@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayfold.llm import bpe, chat, decontaminate, fuzzy_lines, jaccard, merkle, near_vectors, phrases, quality, repeats, token_counts, warc
+from dayfold.llm import bpe, chat, decontaminate, fuzzy_lines, jaccard, main_text, merkle, near_vectors, phrases, quality, repeats, token_counts, warc
 from dayfold.llm.common import table
 
 
@@ -71,6 +71,10 @@ def near_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.main_texts(table(spark, folder, "pages"))
+
+
 def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     names = ("doc_id", "source", "lang", "n_chars", "text")
@@ -96,6 +100,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join,
     "op9_warc_revisits": warc_revisits,
     "op10_near_embeddings": near_embeddings,
+    "op11_html_extraction": html_extraction,
     "op12_merkle_manifest": merkle_manifest,
     "op13_collocations": phrase_collocations,
 }
