@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _DECONTAMINATION = rf"""
@@ -105,6 +107,76 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM e GROUP BY conv_id
 """
 
+_MERKLE = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS t,
+    CAST(doc_id AS VARCHAR) AS id, source AS s, lang AS l, n_chars, text AS x FROM documents),
+f AS (
+  -- crc32, bit by bit: every eighth step takes in a character of the id
+  SELECT *, n_chars + CASE WHEN xor(list_reduce(
+      list_transform(range(0, 8 * len(id)), lambda i: CASE WHEN i % 8 = 0 THEN CAST(ord(substr(id, i // 8 + 1, 1)) AS BIGINT) ELSE 0 END),
+      lambda c, v: CASE WHEN xor(c, v) & 1 = 1 THEN xor(xor(c, v) >> 1, 3988292384) ELSE xor(c, v) >> 1 END, CAST(4294967295 AS BIGINT)),
+    4294967295) % 7 = 0 THEN 1 ELSE 0 END AS claimed FROM d),
+h AS (SELECT r, doc_id, t, sha256(a || CAST_N(n_chars) || z) AS leaf, sha256(a || CAST_N(coalesce(claimed, n_chars)) || z) AS start
+  FROM (SELECT *, WRITTEN(id) || WRITTEN(s) || WRITTEN(l) AS a, WRITTEN(x) AS z FROM f)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf, start) - 1 AS pos, count(*) OVER (PARTITION BY t) AS size FROM h),
+nodes AS (
+  SELECT 0 AS level, t, pos, size, leaf AS digest FROM placed
+  UNION ALL
+  SELECT level + 1, t, pos // 2, (size + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE size > 1 GROUP BY level, t, pos // 2, size),
+subroots AS (SELECT t, digest AS subroot, row_number() OVER (ORDER BY t) - 1 AS place, count(*) OVER () AS parts FROM nodes WHERE size = 1),
+tops AS (
+  SELECT 0 AS level, place AS pos, parts AS size, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (size + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE size > 1 GROUP BY level, pos // 2, size),
+climb AS (
+  SELECT r, t, 0 AS level, pos, size, start AS folded, '' AS proof FROM placed
+  UNION ALL
+  SELECT c.r, c.t, c.level + 1, c.pos // 2, (c.size + 1) // 2,
+    sha256(CASE WHEN c.pos % 2 = 1 THEN n.digest || c.folded ELSE c.folded || coalesce(n.digest, '') END), c.proof || coalesce(n.digest, '')
+  FROM climb c LEFT JOIN nodes n ON n.level = c.level AND n.t = c.t AND n.pos = xor(c.pos, 1) WHERE c.size > 1),
+above AS (
+  SELECT r, 0 AS level, place AS pos, parts AS size, folded, proof FROM climb JOIN subroots USING (t) WHERE size = 1
+  UNION ALL
+  SELECT c.r, c.level + 1, c.pos // 2, (c.size + 1) // 2,
+    sha256(CASE WHEN c.pos % 2 = 1 THEN n.digest || c.folded ELSE c.folded || coalesce(n.digest, '') END), c.proof || coalesce(n.digest, '')
+  FROM above c LEFT JOIN tops n ON n.level = c.level AND n.pos = xor(c.pos, 1) WHERE c.size > 1)
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+FROM h JOIN subroots USING (t) JOIN (SELECT r, folded, proof FROM above WHERE size = 1) USING (r), (SELECT digest FROM tops WHERE size = 1)
+"""
+_MERKLE = re.sub(r"WRITTEN\((\w+)\)", r"coalesce(octet_length(encode(\1)) || ':' || \1, '-')", _MERKLE)
+_MERKLE = re.sub(r"CAST_N\(((?:\w+|coalesce\([^)]*\)))\)", r"coalesce(len(CAST(\1 AS VARCHAR)) || ':' || CAST(\1 AS VARCHAR), '-')", _MERKLE)
+
+_COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, string_split_regex(piece, '[ \t]') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+words AS (SELECT * FROM (SELECT lang, piece, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM pieces) WHERE x <> ''),
+runs AS (SELECT lang, x, lead(x) OVER here AS y, lead(x, 2) OVER here AS z FROM words WINDOW here AS (PARTITION BY piece ORDER BY i)),
+f AS (
+  SELECT lang, [x] AS p, count(*) AS f FROM runs GROUP BY lang, x
+  UNION ALL SELECT lang, [x, y], count(*) FROM runs WHERE y IS NOT NULL GROUP BY lang, x, y
+  UNION ALL SELECT lang, [x, y, z], count(*) FROM runs WHERE z IS NOT NULL GROUP BY lang, x, y, z),
+total AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+frequent AS MATERIALIZED (SELECT lang, len(p) AS k, p, array_to_string(p, ' ') AS phrase, f FROM f WHERE f >= 10),
+candidates AS (SELECT * FROM frequent WHERE k > 1),
+longer AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, f, unnest([array_to_string(p[1:2], ' '), array_to_string(p[2:3], ' ')]) AS phrase FROM candidates WHERE k = 3) GROUP BY lang, phrase),
+cuts AS MATERIALIZED (
+  SELECT lang, phrase, f AS a, cut, array_to_string(p[1:cut], ' ') AS first, array_to_string(p[cut + 1 : k], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)),
+scored AS (
+  SELECT c.*, x.f AS l, y.f AS r, CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.phrase = first JOIN frequent y ON y.lang = c.lang AND y.phrase = rest),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM scored),
+ranked AS (
+  SELECT lowest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE place = 1 AND (longer.f IS NULL OR 100 * longer.f < 50 * a))
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op1_decontamination": _DECONTAMINATION,
     "op3_chat_formatting": _CHATS,
@@ -112,4 +184,6 @@ ORACLES = {
     "op8_jaccard_join": _JACCARD,
     "op9_warc_revisits": _WARC,
     "op10_near_embeddings": _NEAR_EMBEDDINGS,
+    "op12_merkle_manifest": _MERKLE,
+    "op13_collocations": _COLLOCATIONS,
 }
