@@ -20,7 +20,7 @@ def test_equals_sql(spark, sf_dir, name):
 
 
 def test_every_operator_has_a_query():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
 
 
 def test_quality_is_learnt(spark, sf_dir):
