@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from dayfold.functions.columns import own_column
 from dayfold.functions.words import WORD_PATTERN, words_of
+from dayfold.session import fresh_folder
 
 # Texts are cut into blocks of this many characters before single places in them are looked at.
 BLOCK = 64
 # A place in a text is first looked up by at most this many characters; the first that fits is used.
 HEADS = (3, 2, 1)
+# A place carries at most this many characters of a word. Of longer words this is the first link, and
+# only where that is found is the rest of the word taken from the text.
+LINK = 64
 # Memory a broadcast word takes on top of its own bytes, counted generously.
 ROW_OVERHEAD = 64
 
@@ -48,50 +52,83 @@ def split_words_dict(
 
     Works on text written without spaces: every place is tried, overlapping words are all given,
     case counts. Each place is first looked up by the head of a word, which says what lengths can
-    follow there, and then by the whole word.
+    follow there, and then by the whole word. A word of more than ``LINK`` characters is looked up
+    by these first, and by the whole only where they were found.
 
-    A small job measures the dictionary first, and up to three more do if it is a large one; write
-    it to a table if it takes long to derive. Heads and words are broadcast only within
-    ``broadcast_limit`` bytes. Without the heads every length is tried. Beyond the limit the words
-    are joined by a shuffle, each word in ``salts`` copies, so that a word which is most of the
-    text spreads over as many partitions.
+    The words are written to the shared folder once and measured there, so that a dictionary that
+    takes long to derive, or that changes meanwhile, does no harm. Heads and words are broadcast
+    only within ``broadcast_limit`` bytes. Without the heads every length is tried. Beyond the limit
+    the words are joined by a shuffle, each word in ``salts`` copies, so that a word which is most
+    of the text spreads over as many partitions.
     """
-    words = (
-        dictionary.select(own_column(dictionary, word).alias("word"))
-        .where(F.length("word") > 0)
-        .distinct()
+    if clash := [k for k in keep if k in ("position", "word")]:
+        raise ValueError(f"the result has columns position and word of its own, so rename {clash}")
+    found = _Words(dictionary.select(own_column(dictionary, word).alias("word")), broadcast_limit, salts)
+    names = [f"_keep{i}" for i in range(len(keep))]
+    texts = df.select(
+        *(own_column(df, k).alias(n) for k, n in zip(keep, names, strict=True)),
+        own_column(df, text).alias("_text"),
     )
-    facts = words.agg(
-        F.count("*").alias("words"),
-        F.sum(F.octet_length("word")).alias("bytes"),
-        F.collect_set(F.length("word")).alias("lengths"),
-    ).first()
-    lengths = sorted(facts.lengths) or [1]
-    words_fit = (facts.bytes or 0) + facts.words * ROW_OVERHEAD <= broadcast_limit
-    most_heads = broadcast_limit // (ROW_OVERHEAD + 8 * len(lengths))
-    head = HEADS[0] if facts.words <= most_heads else _head_length(words, most_heads)
-
-    places = _places(df, text, list(keep), longest=lengths[-1])
-    if head:
-        heads = words.groupBy(F.substring("word", 1, head).alias("_head")).agg(
-            F.collect_set(F.length("word")).alias("_lengths")
-        )
-        head_lengths = _fixed({min(n, head) for n in lengths})
-        starts = _pieces(places, [*keep, "position", "_rest"], head_lengths)
-        places = _broadcast_lookup(starts, heads, "_head")
-        found = _pieces(places, [*keep, "position"], F.col("_lengths"))
-    else:
-        found = _pieces(places, [*keep, "position"], _fixed(lengths))
-
-    if words_fit:
-        matched = _broadcast_lookup(found, words, "word")
-    else:
-        salt = F.pmod(F.xxhash64(*keep, "position"), F.lit(salts)).cast("int")
-        copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        matched = found.withColumnRenamed("_piece", "word").withColumn("_salt", salt).join(
-            words.withColumn("_salt", copies), ["word", "_salt"]
-        )
-    return matched.select(*keep, "position", "word")
+    hits = found.within(_spans(texts, names, found), names)
+    return hits.toDF(*keep, "position", "word")
+
+
+class _Words:
+    """A dictionary written once, and the lookup of its words at every place of a span of text."""
+
+    def __init__(self, words: DataFrame, broadcast_limit: int, salts: int):
+        spark = words.sparkSession
+        folder = fresh_folder(spark, "dictionary")
+        words.where(F.length("word") > 0).distinct().write.parquet(folder)
+        self.words, self.limit, self.salts = spark.read.schema("word string").parquet(folder), broadcast_limit, salts
+        facts = self.words.agg(
+            F.count("*").alias("words"),
+            F.sum(F.octet_length("word")).alias("bytes"),
+            F.collect_set(F.length("word")).alias("lengths"),
+        ).first()
+        self.lengths = sorted(facts.lengths) or [1]
+        self.longest = self.lengths[-1]
+        self.reach = min(self.longest, LINK)
+        self.fit = (facts.bytes or 0) + facts.words * ROW_OVERHEAD <= broadcast_limit
+        most_heads = broadcast_limit // (ROW_OVERHEAD + 8 * len(self.lengths))
+        self.head = HEADS[0] if facts.words <= most_heads else _head_length(self.words, most_heads)
+
+    def within(self, spans: DataFrame, ids: list[str]) -> DataFrame:
+        """``ids``, ``position`` and ``word`` of the words that begin in the first ``_own`` characters of a span.
+
+        ``spans``: ids, ``_start`` (characters before the span), ``_own`` and ``_text``, which reaches over the places
+        of its own as far as the longest word does.
+        """
+        long_words = self.longest > LINK
+        more = ["_text", "_in"] if long_words else []
+        places = _places(spans, ids, self.reach).select(*ids, "position", "_rest", *more)
+        here = [*ids, "position", *more]
+        lengths = sorted({min(n, self.reach) for n in self.lengths})
+        if self.head:
+            heads = self.words.groupBy(F.substring("word", 1, self.head).alias("_head")).agg(
+                F.collect_set(F.least(F.length("word"), F.lit(self.reach))).alias("_lengths")
+            )
+            starts = _pieces(places, [*here, "_rest"], _fixed({min(n, self.head) for n in lengths}))
+            pieces = _pieces(_broadcast_lookup(starts, heads, "_head"), here, F.col("_lengths"))
+        else:
+            pieces = _pieces(places, here, _fixed(lengths))
+        if long_words:
+            links = self.words.groupBy(F.substring("word", 1, LINK).alias("_link")).agg(
+                F.collect_set(F.length("word")).alias("_lengths")
+            )
+            linked = self._matched(pieces, links, "_link").select(*here, F.explode("_lengths").alias("_n"))
+            whole = F.substring("_text", F.col("_in"), F.col("_n"))
+            pieces = linked.where(F.col("_in") + F.col("_n") - 1 <= F.length("_text")).select(*here, whole.alias("_piece"))
+        return self._matched(pieces, self.words, "word").select(*ids, "position", "word")
+
+    def _matched(self, pieces: DataFrame, table: DataFrame, name: str) -> DataFrame:
+        if self.fit:
+            return _broadcast_lookup(pieces, table, name)
+        place = [c for c in pieces.columns if c not in ("_piece", "_text", "_lengths", "_link")]
+        salt = F.pmod(F.xxhash64(*place), F.lit(self.salts)).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1)))
+        salted = pieces.withColumn("_salt", salt).withColumnRenamed("_piece", name)
+        return salted.join(table.withColumn("_salt", copies), [name, "_salt"])
 
 
 def _head_length(words: DataFrame, most_heads: int) -> int | None:
@@ -102,28 +139,42 @@ def _head_length(words: DataFrame, most_heads: int) -> int | None:
     return None
 
 
-def _places(df: DataFrame, text: str, keep: list[str], longest: int) -> DataFrame:
-    """One row per character of a text, with ``_rest``, the text from there on as far as the
-    longest word reaches.
+def _blocks(size: int, reach: int) -> Column:
+    """A pattern that cuts a text every ``size`` characters; its first group reaches into the next block."""
+    return F.lit(f"(?s)(?=(.{{1,{size + reach - 1}}})).{{1,{size}}}")
+
+
+def _spans(texts: DataFrame, ids: list[str], words: _Words) -> DataFrame:
+    """Whole texts; cut into blocks that reach over into the next, if the longest word is looked for beyond a link."""
+    if words.longest <= LINK:
+        return texts.select(*ids, F.lit(0).cast("bigint").alias("_start"), F.length("_text").alias("_own"), "_text")
+    size = words.longest
+    blocks = F.regexp_extract_all("_text", _blocks(size, size), F.lit(1))
+    return texts.select(*ids, F.posexplode(blocks).alias("_no", "_text")).select(
+        *ids,
+        (F.col("_no").cast("bigint") * size).alias("_start"),
+        F.least(F.lit(size), F.length("_text")).alias("_own"),
+        "_text",
+    )
+
 
-    Texts are cut into blocks first, each reaching over into the next, because taking a piece out
-    of a whole text costs more the further down it lies.
+def _places(spans: DataFrame, ids: list[str], reach: int) -> DataFrame:
+    """One row per place of its own of a span, with ``_rest``, the text from there on over ``reach`` characters.
+
+    Spans are cut into blocks first, each reaching over into the next, because taking a piece out of a long text costs
+    more the further down it lies.
     """
-    block = max(BLOCK, longest)
-    pattern = f"(?s)(?=(.{{1,{block + longest - 1}}})).{{1,{block}}}"
-    blocks = F.regexp_extract_all(own_column(df, text), F.lit(pattern), F.lit(1))
-    steps = F.sequence(F.lit(1), F.least(F.lit(block), F.length("_block")))
-    return (
-        df.select(
-            *(own_column(df, k).alias(k) for k in keep),
-            F.posexplode(blocks).alias("_block_no", "_block"),
-        )
-        .select(*keep, "_block_no", "_block", F.explode(steps).alias("_at"))
-        .select(
-            *keep,
-            (F.col("_block_no").cast("bigint") * block + F.col("_at")).alias("position"),
-            F.substring("_block", F.col("_at"), F.lit(longest)).alias("_rest"),
-        )
+    blocks = F.regexp_extract_all("_text", _blocks(BLOCK, reach), F.lit(1))
+    cut = spans.select(*ids, "_start", "_own", "_text", F.posexplode(blocks).alias("_no", "_block"))
+    steps = F.sequence(F.lit(1), F.least(F.lit(BLOCK), F.col("_own") - F.col("_no") * BLOCK))
+    cut = cut.where(F.col("_no") * BLOCK < F.col("_own")).select("*", F.explode(steps).alias("_at"))
+    inside = F.col("_no") * BLOCK + F.col("_at")
+    return cut.select(
+        *ids,
+        (F.col("_start") + inside).alias("position"),
+        F.substring("_block", F.col("_at"), F.lit(reach)).alias("_rest"),
+        "_text",
+        inside.alias("_in"),
     )
 
 
@@ -173,6 +224,43 @@ def register_split_words(
     )
 
 
+def register_split_words_dict(
+    spark: SparkSession, dictionary: str, name: str = "split_words_dict", word: str = "word", longest: int | None = None
+) -> None:
+    """Make ``name(text)`` a SQL table function that gives ``position`` and ``word`` of every word of
+    the table ``dictionary`` in a text without spaces, as ``split_words_dict`` does.
+
+    Call it as ``FROM t, LATERAL name(t.text)``. The function reads the table at every call, so words
+    added later are found, unless they are longer than ``longest`` characters, which is as long as
+    the longest one now if not given: register it again then. Spark expands the body in place and
+    joins it as a plan of its own, over the distinct texts, so no row passes through Python and the
+    table is not collected. For words of several hundred characters call ``split_words_dict``.
+    """
+    column = f"`{word}`"
+    if longest is None:
+        longest = spark.table(dictionary).agg(F.max(F.length(word))).first()[0] or 1
+    table = ".".join(f"`{part}`" for part in dictionary.split("."))
+    words = f"SELECT DISTINCT {column} AS word FROM {table} WHERE length({column}) > 0"
+    heads = ", ".join(str(n) for n in sorted(HEADS))
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION `{name}`(t STRING)
+        RETURNS TABLE (position BIGINT, word STRING)
+        RETURN SELECT p.no * {BLOCK} + p.at, d.word FROM (
+          SELECT s.no, s.at, s.block, n FROM (
+            SELECT no, at, block, head FROM (
+              SELECT posexplode(regexp_extract_all(t, '(?s)(?=(.{{1,{BLOCK + longest - 1}}})).{{1,{BLOCK}}}', 1)) AS (no, block))
+            LATERAL VIEW explode(sequence(1, least({BLOCK}, length(block)))) AS at
+            LATERAL VIEW explode(array({heads})) AS head
+            WHERE at + head - 1 <= length(block)) AS s
+          JOIN (SELECT left(word, {max(HEADS)}) AS head, collect_set(length(word)) AS lengths FROM ({words})
+                GROUP BY left(word, {max(HEADS)})) AS h
+            ON h.head = substr(s.block, s.at, s.head)
+          LATERAL VIEW explode(h.lengths) AS n
+          WHERE s.at + n - 1 <= length(s.block)) AS p
+        JOIN ({words}) AS d ON d.word = substr(p.block, p.at, p.n)"""
+    )
+
+
 def drop_split_words(
     spark: SparkSession, name: str = "split_words", missing_ok: bool = True
 ) -> None:

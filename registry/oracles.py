@@ -155,6 +155,14 @@ EVENT_DAY = "WHERE CAST(ts AS DATE) = DATE '2024-01-16'"
 PAPER = ("l_suppkey", "s_name", "paper_id", "paper_title")
 COURSE = ("n_nationkey", "n_name", "course_id", "course_name")
 
+_PART_NAME_WORDS = """
+    WITH dictionary AS (SELECT DISTINCT UNNEST(string_split(p_name, ' ')) AS word FROM part),
+    texts AS (SELECT p_partkey, REPLACE(p_name, ' ', '') AS name FROM part),
+    places AS (SELECT p_partkey, name, UNNEST(range(1, LENGTH(name) + 1)) AS position
+               FROM texts)
+    SELECT p_partkey, position, word FROM places JOIN dictionary
+      ON SUBSTR(name, position, LENGTH(word)) = word"""
+
 ORACLES: dict[str, str] = {
     "keyword_totals": f"""
         SELECT keyword, COUNT(*) AS keyword_count FROM ({DOCUMENT_WORDS}) GROUP BY 1""",
@@ -183,13 +191,8 @@ ORACLES: dict[str, str] = {
     "first_last_state_events": _first_last("events", "user_id", "ts", "event_type"),
     "split_words": DOCUMENT_WORDS,
     "register_split_words": DOCUMENT_WORDS,
-    "split_words_dict": """
-        WITH dictionary AS (SELECT DISTINCT UNNEST(string_split(p_name, ' ')) AS word FROM part),
-        texts AS (SELECT p_partkey, REPLACE(p_name, ' ', '') AS name FROM part),
-        places AS (SELECT p_partkey, name, UNNEST(range(1, LENGTH(name) + 1)) AS position
-                   FROM texts)
-        SELECT p_partkey, position, word FROM places JOIN dictionary
-          ON SUBSTR(name, position, LENGTH(word)) = word""",
+    "split_words_dict": _PART_NAME_WORDS,
+    "register_split_words_dict": f"SELECT p_partkey, CAST(position AS BIGINT) AS position, word FROM ({_PART_NAME_WORDS})",
     "split_words_dict_documents": f"""
         WITH dictionary AS (SELECT DISTINCT {WORD_LIST} AS word FROM benchmark),
         lengths AS (SELECT DISTINCT LENGTH(word) AS n FROM dictionary),

@@ -20,6 +20,7 @@ from dayfold.operators.slices import date_range, day_slice
 from dayfold.operators.words import (
     drop_split_words,
     register_split_words,
+    register_split_words_dict,
     split_words,
     split_words_dict,
 )
@@ -261,6 +262,23 @@ def sql_split_words(spark: SparkSession, folder: str) -> DataFrame:
     return found
 
 
+def sql_split_words_dict(spark: SparkSession, folder: str) -> DataFrame:
+    """The dictionary split called from SQL, through a table function that reads a stored dictionary."""
+    table = f"{_fresh_database(spark)}.words"
+    tables.create_table(spark, table, "word string")
+    parts = load(spark, folder, "part")
+    tables.append(parts.select(F.explode(words_of(F.col("p_name"))).alias("word")), table)
+    register_split_words_dict(spark, table, "dayfold_dictionary_words")
+    found = spark.sql(
+        "SELECT p.p_partkey, w.position, w.word FROM "
+        "(SELECT p_partkey, replace(p_name, ' ', '') AS name FROM {parts}) AS p, "
+        "LATERAL dayfold_dictionary_words(p.name) AS w",
+        parts=parts,
+    )
+    drop_split_words(spark, "dayfold_dictionary_words", missing_ok=False)
+    return found
+
+
 QUERIES: dict[str, Query] = {
     **_report_queries(),
     "keyword_totals_day": keyword_totals_day,
@@ -271,6 +289,7 @@ QUERIES: dict[str, Query] = {
     "split_words_dict": part_name_words,
     "split_words_dict_documents": document_dictionary_words,
     "register_split_words": sql_split_words,
+    "register_split_words_dict": sql_split_words_dict,
     "scan_all": scan_all,
     "scan_pruned": scan_pruned,
     "partition_scan": partition_scan,

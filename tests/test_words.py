@@ -14,6 +14,7 @@ from dayfold.operators import words as words_module
 from dayfold.operators.words import (
     drop_split_words,
     register_split_words,
+    register_split_words_dict,
     split_words,
     split_words_dict,
 )
@@ -94,10 +95,10 @@ def brute_force(texts, words):
 
 # limit in bytes, start of 400 further words, broadcast and merge joins in the plan
 PATHS = {
-    "broadcast": (64 << 20, "qqq", 2, 0),
-    "heads of three": (10_000, "qqq", 1, 1),
-    "heads of two": (6_000, "q", 1, 1),
-    "shuffle": (0, "q", 0, 1),
+    "broadcast": (64 << 20, "qqq", 3, 0),
+    "heads of three": (10_000, "qqq", 1, 2),
+    "heads of two": (6_000, "q", 1, 2),
+    "shuffle": (0, "q", 0, 2),
 }
 
 
@@ -166,3 +167,73 @@ def test_hash_lookup_compares_the_texts(spark, monkeypatch):
     texts = spark.createDataFrame([(1, "abcab")], "id bigint, text string")
     found = split_words_dict(texts, "text", words_frame(spark, ["ab", "bca", "x"]), keep=["id"])
     assert rows_of(found) == [(1, 1, "ab"), (1, 2, "bca"), (1, 4, "ab")]
+
+
+def test_dictionary_is_computed_once(spark, tmp_path):
+    """What is measured is what is looked up, even if the source has changed in between."""
+    folder = str(tmp_path / "words")
+    words_frame(spark, ["ab"]).write.parquet(folder)
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    dictionary = spark.read.parquet(folder).mapInArrow(seen, "word string")
+    texts = spark.createDataFrame([(1, "abcab")], "id bigint, text string")
+    found = split_words_dict(texts, "text", dictionary, keep=["id"])
+    words_frame(spark, ["abcab"]).write.mode("overwrite").parquet(folder)
+    assert rows_of(found) == [(1, 1, "ab"), (1, 4, "ab")]
+    assert counted.value == 1
+
+
+@pytest.mark.parametrize("name", ["word", "position"])
+def test_kept_columns_must_not_be_called_like_the_result(spark, name):
+    texts = spark.createDataFrame([("x", "ab")], f"{name} string, text string")
+    with pytest.raises(ValueError, match="rename"):
+        split_words_dict(texts, "text", words_frame(spark, ["a"]), keep=[name])
+
+
+def test_kept_columns_may_have_any_other_name(spark):
+    texts = spark.createDataFrame([(1, 2, "ab")], "_text int, _rest int, text string")
+    found = split_words_dict(texts, "text", words_frame(spark, ["b", "c" * 100]), keep=["_rest", "_text"])
+    assert found.columns == ["_rest", "_text", "position", "word"]
+    assert rows_of(found) == [(2, 1, 2, "b")]
+
+
+def test_a_long_word_does_not_widen_the_lookup(spark):
+    """Places carry a link of it at most, so texts that do not hold the link cost what they cost without it."""
+    texts = spark.createDataFrame([(1, "ab" * 5000)], "id bigint, text string")
+    found = split_words_dict(texts, "text", words_frame(spark, ["ba", "c" * 4000]), keep=["id"])
+    assert f"{words_module.LINK}) AS _rest" in plan_of(found)
+    assert found.count() == 4999
+
+
+def test_long_words_with_one_beginning(spark):
+    text = "xy" * 200 + "z"
+    words = ["xy" * n for n in (32, 33, 100, 200)] + ["xy" * 200 + "z", "xy" * 32 + "q", "z"]
+    texts = spark.createDataFrame([(1, text)], "id bigint, text string")
+    found = split_words_dict(texts, "text", words_frame(spark, words), keep=["id"])
+    assert sorted(tuple(r) for r in found.collect()) == brute_force([(1, text)], words)
+
+
+def test_dictionary_function_in_sql(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS words_db LOCATION '{tmp_path}'")
+    texts = [(1, "大卷手纸" * 40), (2, None), (3, ""), (4, "xyz"), (4, "xyz"), (5, "a\n😀a" + "b" * 70)]
+    words = ["手纸", "卷", "纸大卷", "a", "😀", "b" * 65, "", "xyz"]
+    try:
+        words_frame(spark, [*words, None, "卷"]).write.saveAsTable("words_db.words")
+        register_split_words_dict(spark, "words_db.words", "dict_words")
+        spark.createDataFrame(texts, "id bigint, text string").createOrReplaceTempView("dict_texts")
+        found = spark.sql("SELECT d.id, w.* FROM dict_texts AS d, LATERAL dict_words(d.text) AS w")
+        assert sorted(tuple(r) for r in found.collect()) == brute_force(texts, words)
+        plan = plan_of(found)
+        assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+        # words that are added to the table later are found
+        words_frame(spark, ["yz"]).write.insertInto("words_db.words")
+        more = spark.sql("SELECT w.word FROM dict_texts AS d, LATERAL dict_words(d.text) AS w WHERE d.id = 4")
+        assert rows_of(more) == [("xyz",), ("xyz",), ("yz",), ("yz",)]
+        drop_split_words(spark, "dict_words", missing_ok=False)
+    finally:
+        spark.sql("DROP DATABASE words_db CASCADE")
