@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +39,7 @@ def day_slice(
     if isinstance(kind, T.IntegralType):
         match = value == F.lit(int(compact))
     elif isinstance(kind, T.StringType):
-        match = value.isin(compact, str(wanted)) | value.rlike(f"^{wanted}[ T]")
+        match = _spelled(value, wanted, wanted)
     else:
         match = value.cast("date") == F.lit(wanted)
     sliced = df.where(match)
@@ -56,6 +56,17 @@ def date_range(df: DataFrame, column: str, end: str | dt.date, days_before: int)
     if isinstance(kind, T.IntegralType):
         return df.where(value.between(int(f"{first:%Y%m%d}"), int(f"{last:%Y%m%d}")))
     if isinstance(kind, T.StringType):
-        digits = F.left(F.replace(F.left(value, F.lit(10)), F.lit("-")), F.lit(8))
-        return df.where(digits.between(f"{first:%Y%m%d}", f"{last:%Y%m%d}"))
+        return df.where(_spelled(value, first, last))
     return df.where(value.cast("date").between(F.date_sub(F.lit(last), days_before), F.lit(last)))
+
+
+def _spelled(value: Column, first: dt.date, last: dt.date) -> Column:
+    """Whether a text begins with one of the days, as ranges of text, which a Parquet scan can use.
+
+    Days are spelled 2024-11-16, alone or before a time (after a blank or a T), or 20241116.
+    """
+    dashed, solid = (str(first), str(last)), (f"{first:%Y%m%d}", f"{last:%Y%m%d}")
+    # all that begins with the last day sorts before the same text ending in the next character
+    ranges = [(value >= a) & (value < b[:-1] + chr(ord(b[-1]) + 1)) for a, b in (dashed, solid)]
+    exact = value.rlike(r"^(\d{4}-\d{2}-\d{2}([ T]|$)|\d{8}$)")
+    return (ranges[0] | ranges[1]) & exact

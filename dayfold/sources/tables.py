@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from dayfold.functions.columns import own_column
+from dayfold.operators.slices import as_day
 from dayfold.sources.schemas import ROLLUP_SCHEMAS
 
 
@@ -80,14 +82,22 @@ def append(df: DataFrame, name: str) -> None:
     _for_table(df, name)[0].write.insertInto(name)
 
 
-def replace_days(df: DataFrame, name: str) -> None:
+def replace_days(df: DataFrame, name: str, days: Iterable[str | dt.date] = ()) -> None:
     """Write a frame in place of the days it holds, so that loading a day again changes nothing.
 
-    Other days stay. The table has to be stored by day.
+    Other days stay, but for those named in ``days``: of these the table keeps what the frame holds, so
+    a day that has become empty at its source is emptied here too. Rows of days that are not among the
+    named ones raise. The table has to be stored by day.
     """
     rows, stored_by = _for_table(df, name)
     if not stored_by:
         raise ValueError(f"table {name} is not stored by day")
+    named = sorted({as_day(d) for d in days})
+    if named:
+        column = own_column(rows, stored_by[0])
+        if not rows.where(column.isNull() | ~column.isin(named)).isEmpty():
+            raise ValueError(f"the frame holds rows of other days than {[str(d) for d in named]}")
+        filled = {r[0] for r in rows.select(column).distinct().collect()}
     conf, mode = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
     before = conf.get(mode)
     conf.set(mode, "dynamic")
@@ -95,6 +105,11 @@ def replace_days(df: DataFrame, name: str) -> None:
         rows.write.insertInto(name, overwrite=True)
     finally:
         conf.set(mode, before)
+    for day in named:
+        if day not in filled:
+            df.sparkSession.sql(
+                f"ALTER TABLE {_quoted(name)} DROP IF EXISTS PARTITION (`{stored_by[0]}` = DATE '{day}')"
+            )
 
 
 def write_by_day(df: DataFrame, path: str, day: str = "dt") -> None:

@@ -8,7 +8,7 @@ import pytest
 from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
-from dayfold.operators.history import first_last_state, min_max_by_key
+from dayfold.operators.history import _ends, first_last_state, min_max_by_key
 from dayfold.operators.joins import left_join_on
 
 
@@ -141,17 +141,23 @@ def test_hot_time_is_split(spark, settings):
     found = first_last_state(hot_changes(spark), "key", "time", "state")
     rows = found.where("key = -1").collect()
     assert [tuple(r) for r in rows] == [(-1, 0, 1, 99, 2)]
-    found.collect()
-    assert "skew=true" in plan_of(found)
+    ends = _ends(hot_changes(spark).select(F.col("key").alias("id"), "time", "state"))
+    ends.collect()
+    assert "skew=true" in plan_of(ends)
 
 
-def test_both_joins_read_one_exchange(spark, settings, sf_dir):
+def test_changes_are_joined_once(spark, settings, sf_dir):
+    """One sort of the changes; first and last states are paired from the few rows at either end."""
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    found = first_last_state(orders, "o_custkey", "o_orderdate", "o_orderstatus")
-    found.collect()
-    plan = plan_of(found)
-    assert plan.count("FileScan") == 2 and "ReusedExchange" in plan
+    changes = orders.selectExpr("o_custkey AS id", "o_orderdate AS time", "o_orderstatus AS state")
+    ends = _ends(changes)
+    ends.collect()
+    plan = plan_of(ends)
+    assert plan.count("SortMergeJoin") == 1 and plan.count("Sort [") == 2
+    paired = first_last_state(orders, "o_custkey", "o_orderdate", "o_orderstatus")
+    paired.collect()
+    assert "orders.parquet" not in plan_of(paired)
 
 
 def test_min_max_by_key(spark):
@@ -209,3 +215,34 @@ def test_left_join_of_sides_that_share_names(spark, hot_right):
         (1, "a", 1, "y"),
         (2, "b", None, None),
     ]
+
+
+def test_hot_right_keys_are_found_by_the_join_itself(spark, settings):
+    """A third of the right rows under one key: the default call splits that key, and says the same as the plain join."""
+    settings(**SKEW)
+    left = spark.range(0, 3000, 1, 4).select((F.col("id") % 1000).alias("k"), F.lit("x").alias("t")).union(
+        spark.createDataFrame([(None, "x"), (7, None)], "k bigint, t string")
+    )
+    right = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).cast("int").alias("k"),
+        F.lit("x").alias("t"),
+        F.col("id").alias("v"),
+        F.lit("payload" * 10).alias("p"),
+    )
+    keys = [("k", "k"), ("t", "t")]
+    found = left_join_on(left, right, keys, hot_rows=10_000)
+    plain = left_join_on(left, right, keys, hot_right=False)
+    assert found.columns == plain.columns
+    total = [F.count("*").alias("n"), F.expr("bit_xor(xxhash64(*))").alias("h"), F.expr("sum(xxhash64(*) % 1000003)").alias("s")]
+    numbered = [d.toDF(*(f"c{i}" for i in range(6))) for d in (found, plain)]
+    assert numbered[0].agg(*total).collect() == numbered[1].agg(*total).collect()
+    numbered[0].collect()
+    assert "skew=true" in plan_of(numbered[0])
+
+
+def test_no_hot_key_leaves_the_plain_join(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey")
+    plan = plan_of(left_join_on(orders, lines, [("o_orderkey", "l_orderkey")]))
+    assert plan.count("FileScan") == 2 and "LeftAnti" not in plan
+    assert left_join_on(orders, lines.limit(0), [("o_orderkey", "l_orderkey")]).count() == orders.count()

@@ -7,6 +7,7 @@ import re
 import pytest
 from conftest import plan_of
 
+from dayfold.operators.slices import date_range, day_slice
 from registry.queries import QUERIES
 
 FORBIDDEN = ["EvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "NestedLoopJoin"]
@@ -56,9 +57,22 @@ def test_exam_reports_take_one_scan(spark, sf_dir):
     assert len(re.findall(r"FileScan.*l_suppkey", by_course)) == 1 and "Window" in by_course
 
 
-def test_text_is_hashed_before_it_is_sorted(spark, sf_dir):
+def test_extremes_are_taken_before_the_exchange(spark, sf_dir):
     plan = plan_of(QUERIES["min_max_by_key"](spark, sf_dir))
-    assert "SortAggregate" not in plan.split("FileScan")[0].rsplit("Exchange", 1)[1]
+    assert plan.count("Exchange") == 1 and "partial_min" in plan.split("Exchange")[1]
+
+
+def test_text_days_reach_the_scan(spark, tmp_path):
+    rows = [("2024-11-15", 1), ("2024-11-16", 2), ("2024-11-16 08:00", 3), ("20241116", 4), ("2024-11-167", 5), ("2024-11-17", 6), (None, 7)]
+    spark.createDataFrame(rows, "day string, v int").write.parquet(str(tmp_path / "days"))
+    table = spark.read.parquet(str(tmp_path / "days"))
+    for found, wanted in (
+        (day_slice(table, "2024-11-16", "day"), {2, 3, 4}),
+        (date_range(table, "day", "2024-11-17", 1), {2, 3, 4, 6}),
+    ):
+        assert {r.v for r in found.collect()} == wanted
+        pushed = plan_of(found).split("PushedFilters:")[1].split("]")[0]
+        assert "GreaterThanOrEqual(day,2024-11-16)" in pushed and "LessThan(day,2024-11-1" in pushed
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n.endswith("_stored") and n != "totals_by_date_stored"])

@@ -153,3 +153,23 @@ def test_a_cluster_must_name_the_shared_folder():
 def test_a_local_session_uses_its_warehouse():
     local = Conf({"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/somewhere/"})
     assert session.shared_folder(local) == "file:/somewhere"
+
+
+def test_a_day_that_has_become_empty(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS emptied LOCATION '{tmp_path}'")
+    try:
+        tables.create_table(spark, "emptied.t", "a string, n int, dt date", ["dt"])
+        days = [dt.date(2024, 11, d) for d in (15, 16, 17)]
+        schema = "a string, n int, dt date"
+        tables.replace_days(spark.createDataFrame([("a", 1, d) for d in days], schema), "emptied.t")
+        # nothing to load for the 16th, new sums for the 17th
+        again = spark.createDataFrame([("b", 2, days[2])], schema)
+        tables.replace_days(again, "emptied.t", ["par20241116", days[2]])
+        assert rows_of(spark.table("emptied.t")) == [("a", 1, days[0]), ("b", 2, days[2])]
+        tables.replace_days(again.limit(0), "emptied.t", [days[2], "2024-11-30"])
+        assert rows_of(spark.table("emptied.t")) == [("a", 1, days[0])]
+        with pytest.raises(ValueError, match="other days"):
+            tables.replace_days(again, "emptied.t", [days[0]])
+        assert rows_of(spark.table("emptied.t")) == [("a", 1, days[0])]
+    finally:
+        spark.sql("DROP DATABASE emptied CASCADE")
