@@ -16,6 +16,7 @@ the phrases' texts.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -181,7 +182,7 @@ def phrase_counts(
     active = [np.zeros(slots, np.uint8) for _ in range(longest - 1)]
     done, still, step, until = [], None, 0, shards
     while step < until:
-        sent = spark.sparkContext.broadcast(active)
+        sent = spark.sparkContext.broadcast([zlib.compress(a, 1) for a in active])
         shard = texts.where(F.col("shard") == step % shards).select("lang", "text")
         counts = shard.mapInArrow(_scan(sent, step, shards), COUNTS)
         counts = counts if still is None else counts.unionByName(still)
@@ -189,7 +190,7 @@ def phrase_counts(
         # a phrase whose cycle is over and that is too rare is no longer needed
         ends = F.col("since") + shards - 1
         counts = stored(counts.where((ends > step) | (F.col("n") == 1) | (F.col("f") >= least)), "phrase-counts")
-        sent.unpersist()
+        sent.destroy()
         done.append(counts.where(ends == step))
         still = counts.where(ends > step)
         step += 1
@@ -202,7 +203,11 @@ def phrase_counts(
 
 
 def _scan(active: Broadcast, step: int, shards: int):
-    return lambda batches: _counted(batches, active.value, step, shards)
+    def scan(batches):
+        tables = [np.frombuffer(zlib.decompress(a), np.uint8) for a in active.value]
+        return _counted(batches, tables, step, shards)
+
+    return scan
 
 
 def collocations(
