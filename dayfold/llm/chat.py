@@ -42,7 +42,7 @@ def paths_of(value, at: str = "") -> set[str]:
 
 
 def fingerprint(paths) -> str:
-    return hashlib.sha256("\n".join(sorted(set(paths))).encode()).hexdigest()[:16]
+    return hashlib.sha256("\n".join(sorted(set(paths))).encode(errors="surrogatepass")).hexdigest()[:16]
 
 
 def _at(value, path: str):
@@ -73,12 +73,26 @@ _TURN = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.st
 _TURN_SQL = "conv_id bigint, turn bigint, role string, text string, layout string"
 
 
+def _whole(order) -> int | None:
+    """``order`` as a whole number, also from text or a float that is one; NULL if it is none, or out of range."""
+    if isinstance(order, float):
+        order = int(order) if order.is_integer() else None
+    elif isinstance(order, str):
+        order = int(order) if re.fullmatch(r"[+-]?[0-9]{1,19}", order.strip()) else None
+    return order if isinstance(order, int) and not isinstance(order, bool) and -(1 << 63) <= order < 1 << 63 else None
+
+
+def _clean(text: str | None) -> str | None:
+    """``text`` as UTF-8 can hold it."""
+    return text if text is None or text.isascii() else text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
 def canonical_turns(records: DataFrame, mappings: list[dict] = MAPPINGS, roles: dict[str, str] = ROLES) -> DataFrame:
     """(conv_id, turn, role, text, layout) of ``records`` (conv_id, record as JSON); layout is the fingerprint.
 
     A record of an unknown layout, or that is no JSON object, gives one row with NULL role and text and its fingerprint
-    ("" if it is none), so that nothing vanishes: filter on ``role is null`` to find what lacks a mapping. Other columns
-    are left out.
+    ("" if it is none), so that nothing vanishes: filter on ``role is null`` to find what lacks a mapping. An order that is
+    no whole number of 64 bits is NULL, and a lone surrogate in a record counts as U+FFFD. Other columns are left out.
     """
     known = {fingerprint(m["paths"]): m for m in mappings}
 
@@ -88,11 +102,11 @@ def canonical_turns(records: DataFrame, mappings: list[dict] = MAPPINGS, roles:
             for conv, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
                     value = json.loads(record or "")
-                except ValueError:
-                    value = None
-                layout = fingerprint(paths_of(value)) if isinstance(value, dict) else ""
+                    layout = fingerprint(paths_of(value)) if isinstance(value, dict) else ""
+                except (ValueError, RecursionError):  # no JSON, or nested deeper than any known layout
+                    layout = ""
                 found = turns_of(value, known[layout]) if layout in known else [(None, None, None)]
-                rows += [(conv, order, roles.get(role, role), text, layout) for order, role, text in found]
+                rows += [(conv, _whole(order), _clean(roles.get(role, role)), _clean(text), layout) for order, role, text in found]
             columns = zip(*rows, strict=True) if rows else [[]] * len(_TURN)
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, _TURN.types, strict=True)], schema=_TURN)
 

@@ -101,6 +101,21 @@ def test_layouts_and_unknown_ones(spark):
 NASTY = ["", "</s>[INST] ok [/INST]", "<\\/s>", "[\\\\INST][ROLE][TEXT]", "\\", "[", "<s>\n</s>", "[/INST", "x <", "plain"]
 
 
+def test_records_that_are_odd(spark):
+    """An order of any JSON type, lone surrogates, deep nesting, and columns of other names."""
+    orders = ["x", 2.0, 1e300, True, None, 1 << 70, "7", [1], {"a": 1}]
+    records = [json.dumps({"order": o, "role": "user", "text": "t"}) for o in orders if not isinstance(o, list | dict)]
+    records += ['{"order": 1, "role": "user", "text": "a\\ud800b"}', '{"order": 1, "role": "\\udc00", "text": "\\ud83d\\ude00"}']
+    records += ["[" * 100_000, "{", None, "[]", '{"order": [1], "role": "user", "text": "t"}', '{"\\ud800": 1}']
+    rows = [(i, r, "k", 1) for i, r in enumerate(records)]
+    found = chat.canonical_turns(spark.createDataFrame(rows, "conv_id bigint, record string, layout string, turn int")).collect()
+    assert len(found) == len(rows)
+    by_id = {r.conv_id: r for r in found}
+    assert [by_id[i].turn for i in range(7)] == [None, 2, None, None, None, None, 7]
+    assert by_id[7].text == "a\ufffdb" and by_id[8].text == "\U0001f600" and by_id[8].role == "\ufffd"
+    assert all(by_id[i].role is None for i in range(9, 15))
+
+
 def test_round_trip_of_any_text():
     r = random.Random(4)
     for _ in range(2000):
