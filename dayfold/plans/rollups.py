@@ -5,7 +5,9 @@ first, so that no key and no user has to fit into one task. Names are joined on
 that a hot key meets its name once per window and not once per row. A key without a name keeps its
 sums, under a name of NULL, so that the sums over all groups are those of all raw rows.
 
-Raw frames carry ``dt``, the day of the row. All other columns are listed with each function.
+Raw frames carry ``dt``, the day of the row. All other columns are listed with each function. The
+window is the day, or what ``window`` names: ``WINDOW`` for rows that went through ``in_windows``, so
+that a stored day holds several rows per key. ``compacted`` merges those into one again.
 """
 
 from __future__ import annotations
@@ -19,11 +21,16 @@ from dayfold.functions.ratios import money
 from dayfold.operators.words import split_words
 
 
-def keyword_window(texts: DataFrame, text: str, window: str) -> DataFrame:
-    """Occurrences of each word per window; any column can be the window."""
+#: The columns of a window within a day.
+WINDOW = ("dt", "window_start", "window_end")
+
+
+def keyword_window(texts: DataFrame, text: str, window: str | Sequence[str]) -> DataFrame:
+    """Occurrences of each word per window; any column, or several, can be the window."""
+    window = [window] if isinstance(window, str) else list(window)
     return (
-        split_words(texts, text, keep=[window])
-        .groupBy(window, "keyword")
+        split_words(texts, text, keep=window)
+        .groupBy(*window, "keyword")
         .agg(F.count("*").alias("keyword_count"))
     )
 
@@ -48,39 +55,41 @@ def funnel_window(
     counts = [
         F.count_if(F.col("event_type") == value).alias(column) for column, value in steps.items()
     ]
-    return in_windows(events, length).groupBy("dt", "window_start", "window_end").agg(*counts)
+    return in_windows(events, length).groupBy(*WINDOW).agg(*counts)
 
 
-def review_window(reviews: DataFrame, courses: DataFrame) -> DataFrame:
+def review_window(
+    reviews: DataFrame, courses: DataFrame, window: Sequence[str] = ("dt",)
+) -> DataFrame:
     """Review sums per day and course. ``reviews``: dt, course_id, user_id, stars; ``courses``:
     course_id, course_name. A user who reviews a course twice on a day counts once."""
-    per_user = reviews.groupBy("dt", "course_id", "user_id").agg(
+    per_user = reviews.groupBy(*window, "course_id", "user_id").agg(
         F.sum("stars").alias("review_stars"), F.count_if(F.col("stars") == 5).alias("star5")
     )
-    sums = per_user.groupBy("dt", "course_id").agg(
+    sums = per_user.groupBy(*window, "course_id").agg(
         F.sum("review_stars").alias("review_stars"),
         F.count("user_id").alias("uv"),
         F.sum("star5").alias("star5"),
     )
     return sums.join(courses, "course_id", "left").select(
-        "dt", "course_id", "course_name", "review_stars", "uv", "star5"
+        *window, "course_id", "course_name", "review_stars", "uv", "star5"
     )
 
 
 def region_trade_window(
-    orders: DataFrame, users: DataFrame, regions: DataFrame
+    orders: DataFrame, users: DataFrame, regions: DataFrame, window: Sequence[str] = ("dt",)
 ) -> DataFrame:
     """Trade sums per day and province. ``orders``: dt, user_id, amount; ``users``: user_id,
     region_id; ``regions``: region_id, province_name.
 
     A user lives in one region, so the sums per (day, user) already hold each user once.
     """
-    per_user = orders.groupBy("dt", "user_id").agg(
+    per_user = orders.groupBy(*window, "user_id").agg(
         F.sum(money(F.col("amount"))).alias("final_amount"), F.count("*").alias("order_count")
     )
     per_region = (
         per_user.join(users, "user_id", "left")
-        .groupBy("dt", "region_id")
+        .groupBy(*window, "region_id")
         .agg(
             F.sum("final_amount").cast("decimal(28,2)").alias("final_amount"),
             F.count("user_id").alias("uu_order_count"),
@@ -88,7 +97,7 @@ def region_trade_window(
         )
     )
     return per_region.join(regions, "region_id", "left").select(
-        "dt", "province_name", "final_amount", "uu_order_count", "order_count"
+        *window, "province_name", "final_amount", "uu_order_count", "order_count"
     )
 
 
@@ -101,7 +110,9 @@ def daily_trade_window(orders: DataFrame) -> DataFrame:
     )
 
 
-def exam_window(views: DataFrame, papers: DataFrame) -> DataFrame:
+def exam_window(
+    views: DataFrame, papers: DataFrame, window: Sequence[str] = ("dt",)
+) -> DataFrame:
     """Exam sums per day and paper, with users counted at two grains. ``views``: dt, paper_id,
     user_id, score, duration_sec; ``papers``: paper_id, paper_title, course_id, course_name.
 
@@ -110,16 +121,16 @@ def exam_window(views: DataFrame, papers: DataFrame) -> DataFrame:
     count as those of one course. All comes from one pass over (day, paper, user); the window that
     marks the paper is left out by Spark for a report that does not ask for it.
     """
-    per_user = views.groupBy("dt", "paper_id", "user_id").agg(
+    per_user = views.groupBy(*window, "paper_id", "user_id").agg(
         F.sum("score").alias("score"),
         F.sum("duration_sec").alias("duration_sec"),
         F.count("*").alias("view_count"),
     )
     # A missing user has one row per day and paper here, so it forms no large window either.
-    per_course = Window.partitionBy("dt", "course_id", "user_id").orderBy("paper_id")
+    per_course = Window.partitionBy(*window, "course_id", "user_id").orderBy("paper_id")
     counted = (F.row_number().over(per_course) == 1) & F.col("user_id").isNotNull()
     placed = per_user.join(papers.select("paper_id", "course_id"), "paper_id", "left")
-    sums = placed.withColumn("_counted", counted).groupBy("dt", "paper_id").agg(
+    sums = placed.withColumn("_counted", counted).groupBy(*window, "paper_id").agg(
         F.sum("score").alias("score"),
         F.sum("duration_sec").alias("duration_sec"),
         F.sum("view_count").alias("view_count"),
@@ -127,7 +138,7 @@ def exam_window(views: DataFrame, papers: DataFrame) -> DataFrame:
         F.count_if("_counted").alias("course_user_count"),
     )
     return sums.join(papers, "paper_id", "left").select(
-        "dt",
+        *window,
         "paper_id",
         "paper_title",
         "course_id",
@@ -140,38 +151,42 @@ def exam_window(views: DataFrame, papers: DataFrame) -> DataFrame:
     )
 
 
-def score_range_window(views: DataFrame, papers: DataFrame, width: int = 10) -> DataFrame:
+def score_range_window(
+    views: DataFrame, papers: DataFrame, width: int = 10, window: Sequence[str] = ("dt",)
+) -> DataFrame:
     """Users per day, paper and range of scores, such as ``1-10``. ``views`` and ``papers`` as in
     ``exam_window``; scores are whole numbers."""
     low = (F.floor((F.col("score") - 1) / width) * width + 1).cast("bigint")
     ranged = views.withColumn("score_low", low)
-    counts = ranged.groupBy("dt", "paper_id", "score_low").agg(
+    counts = ranged.groupBy(*window, "paper_id", "score_low").agg(
         F.countDistinct("user_id").alias("uv")
     )
     ends = F.col("score_low").cast("string"), (F.col("score_low") + (width - 1)).cast("string")
     label = F.concat(ends[0], F.lit("-"), ends[1])
     return counts.join(papers, "paper_id", "left").select(
-        "dt", "paper_id", "paper_title", label.alias("score_range"), "uv"
+        *window, "paper_id", "paper_title", label.alias("score_range"), "uv"
     )
 
 
-def answer_window(answers: DataFrame, questions: DataFrame) -> DataFrame:
+def answer_window(
+    answers: DataFrame, questions: DataFrame, window: Sequence[str] = ("dt",)
+) -> DataFrame:
     """Answer sums per day and question. ``answers``: dt, question_id, user_id, correct (boolean);
     ``questions``: question_id, question_txt.
 
     Both user counts come from one pass over (day, question, user).
     """
-    per_user = answers.groupBy("dt", "question_id", "user_id").agg(
+    per_user = answers.groupBy(*window, "question_id", "user_id").agg(
         F.count_if("correct").alias("correct_count"), F.count("*").alias("count")
     )
-    sums = per_user.groupBy("dt", "question_id").agg(
+    sums = per_user.groupBy(*window, "question_id").agg(
         F.sum("correct_count").alias("correct_count"),
         F.sum("count").alias("count"),
         F.count(F.when(F.col("correct_count") > 0, F.col("user_id"))).alias("correct_uu_count"),
         F.count("user_id").alias("uu_count"),
     )
     return sums.join(questions, "question_id", "left").select(
-        "dt",
+        *window,
         "question_id",
         "question_txt",
         "correct_count",
@@ -184,3 +199,16 @@ def answer_window(answers: DataFrame, questions: DataFrame) -> DataFrame:
 def users_window(rows: DataFrame, keys: Sequence[str], user: str) -> DataFrame:
     """Distinct users per window, where ``keys`` hold the window and any further key."""
     return rows.groupBy(*keys).agg(F.countDistinct(user).alias("uv"))
+
+
+def compacted(rollup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The windows of each day and key merged into one, from the first start to the last end.
+
+    ``rollup`` has ``WINDOW``, the ``keys`` and sums. Reports over the result are those over ``rollup``,
+    as they add up the same sums: a user of two of the windows still counts twice.
+    """
+    sums = [c for c in rollup.columns if c not in (*WINDOW, *keys)]
+    ends = F.min("window_start").alias("window_start"), F.max("window_end").alias("window_end")
+    types = {c: rollup.schema[c].dataType for c in sums}
+    merged = rollup.groupBy("dt", *keys).agg(*(F.sum(c).cast(types[c]).alias(c) for c in sums), *ends)
+    return merged.select(*rollup.columns)

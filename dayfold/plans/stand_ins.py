@@ -125,6 +125,26 @@ def region_trade_rollup(spark: SparkSession, folder: str, day: str | None = None
     return rollups.region_trade_window(orders(spark, folder, day), users, regions)
 
 
+def hourly_search_rollup(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
+    """Words per hour of the properties of events."""
+    placed = rollups.in_windows(events(spark, folder, day))
+    return rollups.keyword_window(placed, "props", window=rollups.WINDOW)
+
+
+def hourly_answer_rollup(spark: SparkSession, folder: str, day: str | None = None) -> DataFrame:
+    """Answers per hour: an event is an answer to the question of its type, right with an even id."""
+    asked = rollups.in_windows(events(spark, folder, day)).select(
+        *rollups.WINDOW,
+        F.length("event_type").cast("bigint").alias("question_id"),
+        "user_id",
+        (F.col("event_id") % 2 == 0).alias("correct"),
+    )
+    questions = load(spark, folder, "events").groupBy(F.length("event_type").cast("bigint").alias("question_id")).agg(
+        F.min("event_type").alias("question_txt")
+    )
+    return rollups.answer_window(asked, questions, window=rollups.WINDOW)
+
+
 def daily_trade_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return rollups.daily_trade_window(orders(spark, folder))
 

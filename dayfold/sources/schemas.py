@@ -37,3 +37,10 @@ ROLLUP_SCHEMAS: dict[str, str] = {
         "correct_uu_count bigint, uu_count bigint, dt date"
     ),
 }
+
+#: The same tables with the ends of a window inside the day beside the sums; the funnel has them anyway.
+WINDOW_SCHEMAS: dict[str, str] = {
+    name: columns.replace("dt date", "window_start timestamp_ntz, window_end timestamp_ntz, dt date")
+    for name, columns in ROLLUP_SCHEMAS.items()
+    if columns.endswith("dt date") and "window_start" not in columns
+}

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from dayfold.functions.columns import own_column
 from dayfold.operators.slices import as_day
-from dayfold.sources.schemas import ROLLUP_SCHEMAS
+from dayfold.sources.schemas import ROLLUP_SCHEMAS, WINDOW_SCHEMAS
 
 
 def _quoted(name: str) -> str:
@@ -38,12 +38,16 @@ def create_table(
 
 
 def create_rollup_tables(
-    spark: SparkSession, database: str, names: Iterable[str] = tuple(ROLLUP_SCHEMAS)
+    spark: SparkSession,
+    database: str,
+    names: Iterable[str] = tuple(ROLLUP_SCHEMAS),
+    windows: bool = False,
 ) -> list[str]:
-    """Create rollup tables in ``database``, all or those named, each with a ``dt`` by it."""
+    """Create rollup tables in ``database``, all or those named, each with a ``dt`` by it. With
+    ``windows`` they hold the ends of windows inside the day."""
     made = list(names)
     for table in made:
-        columns = ROLLUP_SCHEMAS[table]
+        columns = (WINDOW_SCHEMAS.get(table) if windows else None) or ROLLUP_SCHEMAS[table]
         by = ["dt"] if columns.endswith("dt date") else []
         create_table(spark, f"{database}.{table}", columns, by)
     return made

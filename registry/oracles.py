@@ -245,3 +245,17 @@ ORACLES: dict[str, str] = {
 for _name in ("keyword_totals", "review_scores", "totals_by_region", "exam_by_paper", "exam_by_course", "score_distribution", "answer_rates"):
     ORACLES[f"{_name}_stored"] = ORACLES[f"{_name}_day"]
 ORACLES["totals_by_date_stored"] = ORACLES["totals_by_date_range"]
+
+ORACLES["keyword_totals_hourly_stored"] = ORACLES["keyword_totals_day"]
+ORACLES["answer_rates_hourly_stored"] = ORACLES["answer_rates_compacted_stored"] = f"""
+        WITH questions AS (SELECT LENGTH(event_type) AS id, MIN(event_type) AS txt FROM events GROUP BY 1),
+        hours AS (
+          SELECT date_trunc('hour', ts) AS hour, LENGTH(event_type) AS id, COUNT(*) AS answers,
+                 COUNT(*) FILTER (WHERE event_id % 2 = 0) AS correct, COUNT(DISTINCT user_id) AS users,
+                 COUNT(DISTINCT user_id) FILTER (WHERE event_id % 2 = 0) AS correct_users
+          FROM events {EVENT_DAY} GROUP BY 1, 2)
+        SELECT {_big('id')} AS question_id, txt AS question_txt, {_big('SUM(correct)')} AS correct_count,
+               {_big('SUM(answers)')} AS "count", SUM(correct) / NULLIF(SUM(answers), 0) AS correct_rate,
+               {_big('SUM(correct_users)')} AS correct_uu_count, {_big('SUM(users)')} AS uu_count,
+               SUM(correct_users) / NULLIF(SUM(users), 0) AS correct_uu_rate
+        FROM hours JOIN questions USING (id) GROUP BY id, txt"""

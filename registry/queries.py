@@ -123,6 +123,37 @@ def totals_by_date_stored(spark: SparkSession, folder: str) -> DataFrame:
     return stored_report(spark, database, "totals_by_date", RANGE_END, 3)
 
 
+def _hourly(spark: SparkSession, folder: str, table: str, rollup: Callable[..., DataFrame]) -> str:
+    """A database with the hourly sums of all days stored by day, and those of one day loaded again."""
+    database = _fresh_database(spark)
+    tables.create_rollup_tables(spark, database, [table], windows=True)
+    store(rollup(spark, folder), database, table)
+    store(rollup(spark, folder, EVENT_DAY), database, table, replace=True)
+    return database
+
+
+def keyword_totals_hourly_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The keyword report of a day whose stored rows are hours."""
+    database = _hourly(spark, folder, "keyword", stand_ins.hourly_search_rollup)
+    return stored_report(spark, database, "keyword_totals", EVENT_DAY)
+
+
+def answer_rates_hourly_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The answer report of a day whose stored rows are hours; a user counts once in each hour."""
+    database = _hourly(spark, folder, "answer", stand_ins.hourly_answer_rollup)
+    return stored_report(spark, database, "answer_rates", EVENT_DAY)
+
+
+def answer_rates_compacted_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The same after the stored hours of all days have been merged into one row per day and question."""
+    database = _hourly(spark, folder, "answer", stand_ins.hourly_answer_rollup)
+    hours = spark.table(f"{database}.answer")
+    days = rollups.compacted(hours, ["question_id", "question_txt"])
+    tables.create_rollup_tables(spark, compact := _fresh_database(spark), ["answer"], windows=True)
+    store(days, compact, "answer")
+    return stored_report(spark, compact, "answer_rates", EVENT_DAY)
+
+
 def _stored_queries() -> dict[str, Query]:
     """The other daily reports over stored tables."""
     loads = {name: (rollup, day) for name, (_, rollup, day) in REPORTS.items() if day}
@@ -296,6 +327,9 @@ QUERIES: dict[str, Query] = {
     "funnel_totals_stored": funnel_totals_stored,
     **_stored_queries(),
     "totals_by_date_stored": totals_by_date_stored,
+    "keyword_totals_hourly_stored": keyword_totals_hourly_stored,
+    "answer_rates_hourly_stored": answer_rates_hourly_stored,
+    "answer_rates_compacted_stored": answer_rates_compacted_stored,
     "table_roundtrip": table_roundtrip,
     "filter_date_between": filter_date_between,
     "left_join_two_keys": left_join_two_keys,

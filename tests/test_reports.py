@@ -325,3 +325,48 @@ def test_every_report_over_stored_tables(spark):
             if picked and day and table != "daily_trade":
                 assert "PartitionFilters: [isnotnull(dt" in plan_of(found)
     spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_hours_of_a_day_are_added_up(spark, sf_dir):
+    """A stored day holds several windows per key; users of several hours count once in each."""
+    hours = stand_ins.hourly_answer_rollup(spark, sf_dir)
+    per_key = hours.groupBy("dt", "question_id").count().agg({"count": "max"}).first()[0]
+    assert per_key > 1
+    days = rollups.compacted(hours, ["question_id", "question_txt"])
+    assert days.columns == hours.columns and days.dtypes == hours.dtypes
+    assert days.groupBy("dt", "question_id").count().agg({"count": "max"}).first()[0] == 1
+    assert rows_of(reports.answer_rates(days)) == rows_of(reports.answer_rates(hours))
+    # counted once a day the users are fewer
+    asked = stand_ins.events(spark, sf_dir).selectExpr("dt", "cast(length(event_type) AS bigint) AS question_id", "user_id", "event_id % 2 = 0 AS correct")
+    questions = hours.select("question_id", "question_txt").distinct()
+    daily = rollups.answer_window(asked, questions)
+    totals = [{r.question_id: r for r in reports.answer_rates(d).collect()} for d in (hours, daily)]
+    assert totals[0].keys() == totals[1].keys()
+    assert all(totals[0][k]["count"] == totals[1][k]["count"] for k in totals[0])
+    assert sum(r.uu_count for r in totals[0].values()) > sum(r.uu_count for r in totals[1].values())
+
+
+@pytest.mark.parametrize("build", ["review", "region", "exam", "score"])
+def test_any_rollup_takes_windows_inside_the_day(spark, sf_dir, build):
+    """The window columns stand in the place of the day, so all other sums are those of the day's rows split by them."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        "to_date(l_shipdate) AS dt", "l_shipdate + make_interval(0, 0, 0, 0, cast(l_orderkey % 3 AS int)) AS ts", "l_partkey AS course_id", "l_suppkey AS paper_id",
+        "l_suppkey AS user_id", "l_orderkey % 5 + 1 AS stars", "cast(l_quantity AS bigint) AS score", "l_orderkey AS duration_sec", "l_extendedprice AS amount",
+    )
+    rows = rollups.in_windows(lines)
+    names = spark.createDataFrame([], "course_id bigint, course_name string")
+    papers = spark.createDataFrame([], "paper_id bigint, paper_title string, course_id bigint, course_name string")
+    users = spark.createDataFrame([], "user_id bigint, region_id bigint")
+    regions = spark.createDataFrame([], "region_id bigint, province_name string")
+    made = {
+        "review": lambda d, **w: (rollups.review_window(d, names, **w), ["review_stars", "star5"]),
+        "region": lambda d, **w: (rollups.region_trade_window(d, users, regions, **w), ["final_amount", "order_count"]),
+        "exam": lambda d, **w: (rollups.exam_window(d, papers, **w), ["view_count", "score", "duration_sec"]),
+        "score": lambda d, **w: (rollups.score_range_window(d, papers, **w), []),
+    }[build]
+    hours, sums = made(rows, window=rollups.WINDOW)
+    daily, _ = made(lines)
+    assert hours.columns[:3] == list(rollups.WINDOW) and hours.columns[3:] == daily.columns[1:]
+    assert hours.count() > daily.count()
+    if sums:
+        assert rows_of(hours.groupBy("dt").agg(*(F.sum(c) for c in sums))) == rows_of(daily.groupBy("dt").agg(*(F.sum(c) for c in sums)))
