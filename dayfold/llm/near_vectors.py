@@ -140,18 +140,23 @@ def pivots_of(points: DataFrame, count: int) -> np.ndarray:
     return x[chosen]
 
 
+#: Points without an id are named by a hash of their vector from here on, above all ids.
+NAMELESS = 1 << 62
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.9, group_points: int = GROUP_POINTS) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding): vec_id, n_links, component_id, kept.
 
     Links join vectors of cosine ``cosine`` or more in double precision. n_links counts the other rows linked directly,
     copies included. NULL, zero, empty and non-finite vectors link with nothing, nor do vectors of different length
-    with each other. component_id is the smallest vec_id of the linked group. Other columns are left out.
+    with each other. component_id is the smallest vec_id of the linked group. Vectors without vec_id are linked as any other;
+    a group of these only has a NULL component_id and is kept whole. Ids are below 2^62. Other columns are left out.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
     usable = rows.where(_valid(F.col("embedding"))).select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("vector"))
     points = usable.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    points = stored(points.select("vector", F.coalesce("rep", F.lit(-(1 << 62))).alias("rep"), "copies", F.size("vector").alias("size")), "points")
+    points = stored(points.select("vector", F.coalesce("rep", F.pmod(F.xxhash64("vector"), F.lit(1 << 61)) + F.lit(NAMELESS)).alias("rep"), "copies", F.size("vector").alias("size")), "points")
     sizes = [r[0] for r in points.select("size").distinct().collect()]  # as many as the table has vector lengths
     found = [_links(points.where(F.col("size") == s), s, cosine, group_points) for s in sizes]
     if not found:
@@ -166,7 +171,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, group_points: int =
     key = F.when(_valid(F.col("embedding")), F.transform("embedding", lambda v: v.cast("double")))
     out = rows.select("vec_id", key.alias("_key")).join(summed, F.col("_key") == F.col("_vector"), "left")
     group = F.coalesce("_group", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), group.alias("component_id"), F.coalesce(group == F.col("vec_id"), F.lit(True)).alias("kept"))
+    group = F.when(group < NAMELESS, group)
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), group.alias("component_id"), F.coalesce(group == F.col("vec_id"), group.isNull()).alias("kept"))
 
 
 _TREE_SQL = "part int, n bigint, reps binary, copies binary, points binary, tree binary"

@@ -297,3 +297,13 @@ def test_near_vectors_equal_plain_version(spark, points):
     found = near_vectors.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int, rep string"), group_points=points).collect()
     assert {x.vec_id: (x.n_links, x.component_id) for x in found} == plain_near(vectors)
     assert all(x.kept == (x.vec_id == x.component_id) for x in found)
+
+
+def test_near_vectors_without_ids(spark):
+    """Unlike vectors without ids stay apart, and a group keeps the row of its smallest id."""
+    rows = [(None, [1.0, 0.0, 0.0]), (None, [0.0, 1.0, 0.0]), (5, [1.0, 0.01, 0.0]), (6, [0.01, 1.0, 0.0]), (None, [0.0, 0.0, 1.0]), (None, [0.0, 0.0, 1.0]), (None, None)]
+    found = near_vectors.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    assert rows_of(found) == sorted(
+        [(None, 0, None, True), (None, 1, None, True), (None, 1, None, True), (None, 1, 5, False), (None, 1, 6, False), (5, 1, 5, True), (6, 1, 6, True)],
+        key=lambda r: tuple((v is not None, str(type(v)), v if v is not None else 0) for v in r),
+    )
