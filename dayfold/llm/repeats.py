@@ -128,12 +128,12 @@ def _anchors(buckets: int):
 
     def run(key, rows):
         doc_ids, data, offsets = chunk_texts(rows)
-        anchor = np.unique(runs_of(data, offsets)[2])
+        anchor = _distinct(runs_of(data, offsets)[2])
         out = {f.name: [] for f in _ANCHORS}
         for bucket, at in by_bucket(_bucket_of(anchor, buckets)):
             out["bucket"].append(bucket)
             out["chunk"].append(key[0].as_py())
-            out["anchors"].append(_sorted_packed(np.unique(anchor[at] & _KEY)))
+            out["anchors"].append(_sorted_packed(_distinct(anchor[at] & _KEY)))
         return _table(out, _ANCHORS)
 
     return run
@@ -169,7 +169,7 @@ def _runs(buckets: int):
             # anchors of several documents of the chunk itself
             order = np.lexsort((doc, anchor))
             both = order[1:][(anchor[order[1:]] == anchor[order[:-1]]) & (doc[order[1:]] != doc[order[:-1]])]
-            common = np.unique(np.concatenate([common, anchor[both] & _KEY]))
+            common = _distinct(np.concatenate([common, anchor[both] & _KEY]))
             compare = kept & np.isin(anchor & _KEY, common)
             for bucket, at in by_bucket(np.where(compare, _bucket_of(anchor, buckets), -1)):
                 if bucket < 0:
@@ -189,6 +189,18 @@ def _runs(buckets: int):
     return run
 
 
+def _first_of_equals(values: np.ndarray) -> np.ndarray:
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return new
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Ascending and once each; by sorting, which for 64-bit numbers is several times faster than ``np.unique``."""
+    values = np.sort(values)
+    return values[_first_of_equals(values)]
+
+
 def repeated(doc: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     """Whether each suffix (given by the hash of its first SPAN bytes) also occurs in a document before its own.
 
@@ -201,20 +213,23 @@ def repeated(doc: np.ndarray, suffix: np.ndarray) -> np.ndarray:
         last = min(len(doc), first + BATCH)
         last = int(np.searchsorted(doc, doc[last - 1], "right"))  # documents stay whole
         own, place = suffix[first:last], doc[first:last]
-        order = np.argsort(own, kind="stable")  # ties in the order of documents
-        array = own[order]
-        new = np.ones(len(array), bool)
-        new[1:] = array[1:] != array[:-1]
-        least = place[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-        hit = place[order] > least
+        order = np.argsort(own)
+        array, place = own[order], place[order]
+        new = _first_of_equals(array)
+        heads = np.flatnonzero(new)
+        entry = np.cumsum(new) - 1
+        hit = place > np.minimum.reduceat(place, heads)[entry]
         array = array[new]
+        known = np.zeros(len(array), bool)
         for level in levels:
             at = np.minimum(np.searchsorted(level, array), len(level) - 1)
-            hit |= (level[at] == array)[np.cumsum(new) - 1]
-        found[first + order[hit]] = True
+            known |= level[at] == array
+        found[first + order[hit | known[entry]]] = True
+        array = array[~known]  # so no two levels hold the same suffix
         while levels and len(levels[-1]) <= 2 * len(array):
-            array = np.union1d(levels.pop(), array)
-        levels.append(array)
+            array = np.sort(np.concatenate([levels.pop(), array]))
+        if len(array):
+            levels.append(array)
         first = last
     return found
 
