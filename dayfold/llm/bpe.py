@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from collections.abc import Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -25,6 +26,9 @@ from pyspark.sql import functions as F
 CACHED_WORDS = 60_000
 #: Steps kept in the automaton's table.
 CACHED_STEPS = 1_000_000
+#: Beginnings of words kept with the path that spells them, and their longest, so that a long word takes no memory by its square.
+CACHED_HEADS = 300_000
+LONGEST_HEAD = 32
 
 
 class Recent:
@@ -59,6 +63,7 @@ class Automaton:
         self.steps: list[list[tuple[int, int]]] = []  # of a token: (token whose removal stops it, up to which merge)
         self.table: dict[int, bool] = {}
         self.made: dict[str, int] = {}
+        self.heads: dict[str, tuple[int, ...]] = {}  # by first symbols of a word: the last token to each place in them
         self.longest = 1
         for rank, (u, v) in enumerate(merges):
             self._gadget(u, v, rank)
@@ -108,32 +113,50 @@ class Automaton:
     def encode(self, symbols: list[str]) -> list[str]:
         """The accepted token path that spells ``symbols``."""
         n, text = len(symbols), "".join(symbols)
-        over = len(symbols[-1]) - 1
-        made, table, step, longest = self.made.get, self.table.get, self.step, self.longest
-        numbers = [self.number[s] if s in self.number else self._symbol(s) for s in symbols]
-        starts, tokens = [0] * (n + 1), [numbers[0]] * (n + 1)  # to each place: start and number of its last token
-        for i in range(2, n + 1):
-            after, single = tokens[i - 1], numbers[i - 1]
-            known = table(after << 32 | single)
-            if known or known is None and step(after, single):
-                starts[i], tokens[i] = i - 1, single
-                continue
-            end = i if i < n else n + over
-            for j in range(i - 2, max(-1, end - longest - 1), -1):
-                token = made(text[j:end])
-                if token is not None:
-                    if j:
-                        known = table(tokens[j] << 32 | token)
-                        if not (known or known is None and step(tokens[j], token)):
-                            continue
-                    starts[i], tokens[i] = j, token
-                    break
-        found, i = [], n
+        heads, number, names = self.heads, self.number, self.tokens
+        # the path to a place depends on what stands before it only, so a word goes on where one that starts alike has been
+        for i in range(min(n - 1, LONGEST_HEAD), 0, -1):
+            path = heads.get(text[:i])
+            if path is not None:
+                break
+        else:
+            i, path = 0, (0,)
+        if i < n - 1:
+            if len(heads) >= CACHED_HEADS:
+                heads.clear()
+            tokens = list(path[: i + 1])  # to each place: number of its last token
+            for end in range(i + 1, n):
+                single = number.get(symbols[end - 1])
+                tokens.append(self._last(text, end, end, self._symbol(symbols[end - 1]) if single is None else single, tokens))
+            path = tuple(tokens)
+            start = path[: LONGEST_HEAD + 1]
+            for end in range(i + 1, min(n, LONGEST_HEAD + 1)):
+                heads[text[:end]] = start
+        last = names[self._last(text, n, len(text), self._symbol(symbols[-1]), path)]
+        found, i = [last], len(text) - len(last)
         while i:
-            found.append(self.tokens[tokens[i]])
-            i = starts[i]
+            found.append(names[path[i]])
+            i -= len(found[-1])
         return found[::-1]
 
+    def _last(self, text: str, i: int, end: int, single: int, tokens: Sequence[int]) -> int:
+        """The last token of the accepted path to place ``i``, of those to the places before; its last symbol is ``single``."""
+        if i == 1:
+            return single
+        made, table = self.made.get, self.table.get
+        known = table(tokens[i - 1] << 32 | single)
+        if known or known is None and self.step(tokens[i - 1], single):
+            return single
+        for j in range(i - 2, max(0, end - self.longest) - 1, -1):
+            token = made(text[j:end])
+            if token is not None:
+                if not j:
+                    return token
+                known = table(tokens[j] << 32 | token)
+                if known or known is None and self.step(tokens[j], token):
+                    return token
+        raise ValueError("no path spells these symbols")
+
 
 @lru_cache(maxsize=4)
 def _byte_letters() -> dict[int, str]:
@@ -205,7 +228,8 @@ class WordTokenizer:
 
     def _plain(self, text: str) -> list[tuple[int, str, str]]:
         chunk = self.chunks
-        return [e for c in text.replace("\n", " ").split(" ") if c and (e := chunk(c))[0]]
+        lately = chunk.now.get  # still right, if old, after the chunks have been put behind
+        return [e for c in text.replace("\n", " ").split(" ") if c and (e := lately(c) or chunk(c))[0]]
 
     def spelled(self, text: str) -> str:
         """The byte letters of the words of ``text``, each with its end-of-word mark, and the special tokens between."""
