@@ -2,7 +2,8 @@
 
 Vectors of equal direction are one point. Points are dealt into groups near common pivots; a tree of nested levels with
 halving radii is built over each group, and pairs of groups are traversed together: a pair of nodes whose centres are
-farther apart than both covering radii and the threshold's distance together holds no link and is pruned.
+farther apart than both covering radii and the threshold's distance together holds no link and is pruned. So are pairs
+of whole groups, by their cells' radii and by their distances to all pivots, before a group is copied anywhere.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ PIVOTS = 64
 #: Covering radii of the levels, from the root's children down; cosine c is the distance sqrt(2 - 2c).
 RADII = (0.5, 0.25, 0.125)
 SLACK = 1e-9
+#: Distances near zero are roots of differences of about 1e-16.
+ROOT_SLACK = 1e-7
 
 
 def cover_tree(points: np.ndarray) -> list[dict[str, np.ndarray]]:
@@ -175,7 +178,32 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, group_points: int =
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), group.alias("component_id"), F.coalesce(group == F.col("vec_id"), group.isNull()).alias("kept"))
 
 
-_TREE_SQL = "part int, n bigint, reps binary, copies binary, points binary, tree binary"
+_TREE_SQL = "part int, n bigint, reps binary, copies binary, points binary, tree binary, nearest array<double>, farthest array<double>"
+
+
+def _apart(dots: np.ndarray) -> np.ndarray:
+    """Distances of unit vectors."""
+    return np.sqrt(np.maximum(0, 2 - 2 * dots))
+
+
+def open_cells(pivots: np.ndarray, radius: dict[int, float], cosine: float) -> list[tuple[int, int]]:
+    """Pairs of cells that may hold a link, either way round: their pivots are no farther apart than both covering radii and
+    the threshold's distance together. At most the square of PIVOTS."""
+    apart, far = _apart(pivots @ pivots.T), np.sqrt(2 - 2 * cosine)
+    return [(c, d) for c in radius for d in radius if c == d or apart[c, d] <= radius[c] + radius[d] + far + ROOT_SLACK]
+
+
+def open_pairs(roots: DataFrame, cells_of: DataFrame, cells: list[tuple[int, int]], cosine: float) -> DataFrame:
+    """(low, high): groups that may hold a link. Of ``roots`` (part, and nearest and farthest distance to each pivot), those
+    with cells (part, cell) in an open pair, and no pivot that parts them: by the triangle inequality, two points within the
+    threshold are about as far from each pivot."""
+    far = float(np.sqrt(2 - 2 * cosine)) + ROOT_SLACK
+    opened = roots.sparkSession.createDataFrame(cells, "cell int, facing int")
+    low, high = cells_of.select(F.col("part").alias("low"), "cell"), cells_of.select(F.col("part").alias("high"), F.col("cell").alias("facing"))
+    pairs = low.join(F.broadcast(opened), "cell").join(high, "facing").where("low <= high").select("low", "high").distinct()
+    side = lambda name, mark: roots.select(F.col("part").alias(name), F.col("nearest").alias(f"near_{mark}"), F.col("farthest").alias(f"far_{mark}"))
+    reach = lambda a, b: F.forall(F.zip_with(f"near_{a}", f"far_{b}", lambda x, y: x <= y + far), lambda x: x)
+    return pairs.join(side("low", "a"), "low").join(side("high", "b"), "high").where(reach("a", "b") & reach("b", "a")).select("low", "high")
 
 
 def _links(points: DataFrame, size: int, cosine: float, group_points: int) -> tuple[DataFrame, DataFrame]:
@@ -188,12 +216,13 @@ def _links(points: DataFrame, size: int, cosine: float, group_points: int) -> tu
     def assign(batches):
         for batch in batches:
             if batch.num_rows:
-                cell = (_units(batch.column(0), size) @ shared.value.T).argmax(axis=1)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32))], [*batch.schema.names, "cell"])
+                dots = _units(batch.column(0), size) @ shared.value.T
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(dots.argmax(axis=1).astype(np.int32)), pa.array(_apart(dots.max(axis=1)))], [*batch.schema.names, "cell", "away"])
 
-    celled = stored(points.select("vector", "rep", "copies").mapInArrow(assign, "vector array<double>, rep bigint, copies bigint, cell int"), "cells")
+    celled = stored(points.select("vector", "rep", "copies").mapInArrow(assign, "vector array<double>, rep bigint, copies bigint, cell int, away double"), "cells")
     # cells fill groups of about group_points: small cells share one, and large ones are dealt over several
-    held = {r[0]: r[1] for r in celled.groupBy("cell").count().collect()}  # PIVOTS rows
+    cells = celled.groupBy("cell").agg(F.count("*"), F.max("away")).collect()  # PIVOTS rows
+    held = {r[0]: r[1] for r in cells}
     first, filled, plan = 0, 0, {}
     for cell in sorted(held):
         if filled and filled + held[cell] > group_points:
@@ -210,13 +239,24 @@ def _links(points: DataFrame, size: int, cosine: float, group_points: int) -> tu
     def build(key, table):
         x = _units(table.column("vector"), size)
         tree = pickle.dumps(cover_tree(x))
-        yield pa.RecordBatch.from_pydict({"part": pa.array([key[0].as_py()], pa.int32()), "n": [len(x)], "reps": [table.column("rep").to_numpy().tobytes()], "copies": [table.column("copies").to_numpy().tobytes()], "points": [x.tobytes()], "tree": [tree]})
+        apart = _apart(x @ shared.value.T)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "part": pa.array([key[0].as_py()], pa.int32()),
+                "n": [len(x)],
+                "reps": [table.column("rep").to_numpy().tobytes()],
+                "copies": [table.column("copies").to_numpy().tobytes()],
+                "points": [x.tobytes()],
+                "tree": [tree],
+                "nearest": [apart.min(axis=0).tolist()],
+                "farthest": [apart.max(axis=0).tolist()],
+            }
+        )
 
     trees = stored(groups.groupBy("part").applyInArrow(lambda key, table: pa.Table.from_batches(build(key, table)), _TREE_SQL), "trees")
-    parts = sorted(r[0] for r in trees.select("part").collect())  # one per group_points points
-    # every group goes to the tasks of its pairs: the rows of the query set against all rows, in blocks
-    other = F.explode(F.array(*[F.lit(p) for p in parts]))
-    met = trees.withColumn("other", other).withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
+    met = open_pairs(trees, groups.select("part", "cell").distinct(), open_cells(pivots, {r[0]: r[2] for r in cells}, cosine), cosine)
+    # a group goes to the tasks of its open pairs only
+    met = met.select("low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("part")).join(trees.drop("nearest", "farthest"), "part")
 
     def join(key, table):
         sides = table.to_pylist()
