@@ -188,7 +188,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     added = ("n_words", "n_hit", "item_ids", "longest_match", "match_word", "match_item", "contaminated")
     if clash := set(added) & set(names):
         raise ValueError(f"columns {sorted(clash)} are there already")
-    at = names.index("text")
+    at, held = names.index("text"), "_found"
+    while held in {n.lower() for n in names}:
+        held += "_"
     state = docs
     for bench in _blocks(benchmark, window):
         shared = docs.sparkSession.sparkContext.broadcast(bench)  # BLOCK_BYTES of text at most
@@ -204,20 +206,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
                         rows = [_joined(a, b) for a, b in zip(part.column(len(names)).to_pylist(), rows, strict=True)]
                     keys = [f.name for f in _STATE]
                     found = pa.array([dict(zip(keys, r, strict=True)) for r in rows], _STATE)
-                    yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], found], [*names, "_found"])
+                    yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], found], [*names, held])
 
-        schema = StructType([*docs.schema.fields, StructField("_found", StructType.fromDDL(_STATE_SQL))])
+        schema = StructType([*docs.schema.fields, StructField(held, StructType.fromDDL(_STATE_SQL))])
         state = state.mapInArrow(look, schema)
-    hits = F.aggregate(F.sequence(F.lit(0), (F.size("_found.hits") / 2).cast("int") - 1), F.lit(0).cast("bigint"), lambda s, i: s + F.col("_found.hits")[i * 2 + 1] - F.col("_found.hits")[i * 2])
-    n_hit = F.when(F.size("_found.hits") > 0, hits).otherwise(F.lit(0).cast("bigint"))
+    hits = F.col(f"{held}.hits")
+    total = F.aggregate(F.sequence(F.lit(0), (F.size(hits) / 2).cast("int") - 1), F.lit(0).cast("bigint"), lambda s, i: s + hits[i * 2 + 1] - hits[i * 2])
+    n_hit = F.when(F.size(hits) > 0, total).otherwise(F.lit(0).cast("bigint"))
     return state.select(
         *names,
-        F.col("_found.n_words").alias("n_words"),
+        F.col(f"{held}.n_words").alias("n_words"),
         n_hit.alias("n_hit"),
-        F.col("_found.items").alias("item_ids"),
-        F.col("_found.longest").alias("longest_match"),
-        F.col("_found.match_word").alias("match_word"),
-        F.col("_found.match_item").alias("match_item"),
+        F.col(f"{held}.items").alias("item_ids"),
+        F.col(f"{held}.longest").alias("longest_match"),
+        F.col(f"{held}.match_word").alias("match_word"),
+        F.col(f"{held}.match_item").alias("match_item"),
         (n_hit > 0).alias("contaminated"),
     )
 
