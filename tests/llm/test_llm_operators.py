@@ -7,6 +7,7 @@ import json
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows_of
 
@@ -307,3 +308,39 @@ def test_near_vectors_without_ids(spark):
         [(None, 0, None, True), (None, 1, None, True), (None, 1, None, True), (None, 1, 5, False), (None, 1, 6, False), (5, 1, 5, True), (6, 1, 6, True)],
         key=lambda r: tuple((v is not None, str(type(v)), v if v is not None else 0) for v in r),
     )
+
+
+def test_far_groups_do_not_meet(spark, monkeypatch):
+    """Clusters far from each other: pairs of groups grow with the groups and not with their square, and no link is lost."""
+    r, met = np.random.RandomState(4), []
+    centres = r.randn(40, 32)
+    vectors = {i: (centres[i % 40] + r.randn(32) * 0.02).tolist() for i in range(1, 801)}
+    whole = near_vectors.open_pairs
+    monkeypatch.setattr(near_vectors, "open_pairs", lambda *a: met.append((a[0].count(), whole(*a).count())) or whole(*a))
+    found = near_vectors.near_duplicates(spark.createDataFrame(list(vectors.items()), "vec_id bigint, embedding array<double>"), group_points=20)
+    assert {x.vec_id: (x.n_links, x.component_id) for x in found.collect()} == plain_near(vectors)
+    groups, pairs = met[0]
+    assert groups >= 35 and pairs < 3 * groups
+
+
+def test_merges_that_find_nothing():
+    """``b bbb`` never stands in a word, as ``bb`` comes first, so no token comes of it or of what is made with it."""
+    own = bpe.Automaton([("b", "b"), ("b", "bb"), ("b", "bbb"), ("bbb", "a")])
+    assert own.encode(list("bbbb")) == ["bb", "bb"]
+    assert own.encode(list("bbba")) == ["bb", "b", "a"]
+
+
+def test_slices_are_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE_BYTES", 10)
+    monkeypatch.setattr(bpe, "SLICE_ROWS", 3)
+    texts = ["a" * n for n in (4, 6, 1, 30, 0, 0, 0, 0)] + [None, "b"]
+    batch = pa.record_batch([pa.array(range(10)), pa.array(texts)], ["doc_id", "text"])
+    slices = [x.column(1).to_pylist() for x in bpe._texts([batch, batch.slice(10)])]
+    assert slices == [texts[:2], texts[2:3], texts[3:4], texts[4:7], texts[7:]]
+
+
+def test_column_of_the_search_may_be_there(spark):
+    docs = spark.createDataFrame([(1, ITEM, 7), (2, "other", 8)], "doc_id bigint, text string, _found int")
+    bench = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    found = decontaminate.contamination(docs, bench).select("doc_id", "_found", "n_hit").collect()
+    assert sorted(map(tuple, found)) == [(1, 7, 12), (2, 8, 0)]
