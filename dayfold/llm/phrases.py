@@ -9,8 +9,8 @@ threshold, from the next scan on and for one full cycle, so that all lengths are
 phrase is counted over all texts, once. The job ends when no phrase is short of its cycle.
 
 What is active, and since when, goes to the tasks as a table of fixed size, one byte per hashed phrase. Phrases that share
-a byte are activated together, by whichever is first: some are then counted without need, and none is missed or counted
-for less than a cycle. A full table means more phrases to count, never other results. The counts themselves are kept by
+a byte are activated together, by whichever is first, but each is counted from the step on at which all its subphrases are
+active: some are then counted without need, and none is missed or counted for less than a cycle. A full table means more phrases to count, never other results. The counts themselves are kept by
 the phrases' texts.
 """
 
@@ -126,7 +126,9 @@ def _of_texts(data, offsets, lang, active, step, shards):
             yield from rows(n, since[at], phrases, counts)
         if n <= len(active):
             hashes = _joined(hashes[:-1], word_hash[codes[n - 1 :]])
-            since = np.where(known, active[n - 1][hashes % np.uint64(len(active[n - 1]))], 0)
+            # a slot may be older than the phrase, which is not counted before its own subphrases are active
+            slot = active[n - 1][hashes % np.uint64(len(active[n - 1]))]
+            since = np.where(known & (slot > 0), np.maximum(slot, since), 0)
 
 
 def _slots(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:

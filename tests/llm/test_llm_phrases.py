@@ -85,6 +85,14 @@ def test_phrases_that_become_frequent_late(spark):
     assert found == {"rare pair": 6}
 
 
+def test_late_phrases_that_share_a_slot_with_early_ones(spark):
+    # the pairs of the late words fall on slots that the early pairs have filled, but their own cycle begins later
+    rng = random.Random(1)
+    rows = [("en", " ".join(f"w{rng.randint(0, 39)}" for _ in range(300))) for _ in range(240)]
+    rows += [("en", f"p{i} q{i} r{i}. {i} {j}") for i in range(40) for j in range(12)]
+    assert rows_of(phrases.collocations(frame(spark, rows), slots=2048)) == sorted(plain(rows))
+
+
 def test_odd_texts(spark):
     rows = [(None, None), ("en", ""), ("en", " .,;\t"), ("und", "a b"), (None, "A B"), ("de", "x" * 50_000), ("de", "a b a b")]
     rows += [("fr", "é à " * 30_000)]
