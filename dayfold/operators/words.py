@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from dayfold.functions.columns import own_column
 from dayfold.functions.words import WORD_PATTERN, words_of
@@ -20,6 +24,10 @@ HEADS = (3, 2, 1)
 LINK = 64
 # Memory a broadcast word takes on top of its own bytes, counted generously.
 ROW_OVERHEAD = 64
+# Bytes of text whose places are looked at together by hash.
+SLICE = 1 << 19
+# Types of columns that pass through Arrow unchanged; rows with others stay in Spark.
+PLAIN = {"string", "binary", "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date"}
 
 
 def split_words(
@@ -51,7 +59,9 @@ def split_words_dict(
     """The ``keep`` columns, ``position`` (from 1) and ``word`` for every dictionary word in a text.
 
     Works on text written without spaces: every place is tried, overlapping words are all given,
-    case counts. Each place is first looked up by the head of a word, which says what lengths can
+    case counts. A dictionary within ``broadcast_limit`` whose words have up to ``LINK`` characters
+    is looked up by hash, slice by slice of the text, and what is found so is then compared with the
+    words. Otherwise each place is first looked up by the head of a word, which says what lengths can
     follow there, and then by the whole word. A word of more than ``LINK`` characters is looked up
     by these first, and by the whole only where they were found.
 
@@ -69,7 +79,10 @@ def split_words_dict(
         *(own_column(df, k).alias(n) for k, n in zip(keep, names, strict=True)),
         own_column(df, text).alias("_text"),
     )
-    hits = found.within(_spans(texts, names, found), names)
+    if found.fit and found.longest <= LINK and {f.dataType.simpleString() for f in texts.schema} <= PLAIN:
+        hits = found.hashed_within(texts, names)
+    else:
+        hits = found.within(_spans(texts, names, found), names)
     return hits.toDF(*keep, "position", "word")
 
 
@@ -121,6 +134,14 @@ class _Words:
             pieces = linked.where(F.col("_in") + F.col("_n") - 1 <= F.length("_text")).select(*here, whole.alias("_piece"))
         return self._matched(pieces, self.words, "word").select(*ids, "position", "word")
 
+    def hashed_within(self, texts: DataFrame, ids: list[str]) -> DataFrame:
+        """``ids``, ``position`` and ``word`` of the words in ``_text``: pieces of a word's hash, then compared with it."""
+        # at most ``limit`` bytes, as for the broadcast of the words
+        sent = texts.sparkSession.sparkContext.broadcast(_Hashes(self.words.toArrow().column("word")))
+        fields = [*(f for f in texts.schema if f.name in ids), StructField("position", LongType()), StructField("_piece", StringType())]
+        pieces = texts.select(*ids, "_text").mapInArrow(lambda batches: _hash_hits(batches, sent.value), StructType(fields))
+        return _broadcast_lookup(pieces, self.words, "word").select(*ids, "position", "word")
+
     def _matched(self, pieces: DataFrame, table: DataFrame, name: str) -> DataFrame:
         if self.fit:
             return _broadcast_lookup(pieces, table, name)
@@ -131,6 +152,99 @@ class _Words:
         return salted.join(table.withColumn("_salt", copies), [name, "_salt"])
 
 
+class _Hashes:
+    """The hashes of a dictionary's words by their length in bytes, and bits that tell which lengths can follow a head."""
+
+    def __init__(self, words: pa.ChunkedArray):
+        data, offsets = _bytes(words)
+        data = np.concatenate([data, np.zeros(8, np.uint8)])
+        size = np.diff(offsets)
+        self.lengths = [int(n) for n in np.unique(size)]
+        self.of = []
+        # heads of one to four bytes; of those of more lengths than bits some share one
+        self.heads = [np.zeros(1 << 16, np.uint64) for _ in range(4)]
+        for i, n in enumerate(self.lengths):
+            at = offsets[:-1][size == n]
+            self.of.append(np.unique(_hash(_words8(data), at, n)))
+            k = min(n, 4)
+            np.bitwise_or.at(self.heads[k - 1], _head(_words8(data)[at], k), np.uint64(1 << i % 64))
+
+
+def _bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All texts end to end in UTF-8, and where each begins and the last one ends. NULL is empty."""
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
+    if len(column) == 0:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _words8(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as a number; ``data`` has eight bytes more than places."""
+    return np.ndarray((len(data) - 8,), "<u8", data, strides=(1,))
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def _head(eight: np.ndarray, n: int) -> np.ndarray:
+    return (_mixed(eight & np.uint64((1 << 8 * n) - 1)) & np.uint64(0xFFFF)).astype(np.int64)
+
+
+def _hash(eight: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the ``n`` bytes from each place ``at`` on."""
+    h = np.zeros(len(at), np.uint64)
+    for i in range(0, n, 8):
+        h = _mixed(h + (eight[at + i] & np.uint64((1 << 8 * min(8, n - i)) - 1)))
+    return h
+
+
+def _hash_hits(batches: Iterator[pa.RecordBatch], words: _Hashes) -> Iterator[pa.RecordBatch]:
+    """ids, ``position`` and ``_piece`` of the pieces of ``_text`` (last column) that have the hash of a word."""
+    reach = max(words.lengths, default=0)
+    for batch in batches:
+        ids, names = batch.columns[:-1], [*batch.schema.names[:-1], "position", "_piece"]
+        data, offsets = _bytes(batch.columns[-1])
+        # characters of the batch before the slice, and before each text
+        before, first = 0, np.zeros(len(offsets), np.int64)
+        for low in range(0, len(data), SLICE):
+            high = min(low + SLICE, len(data))
+            some = np.concatenate([data[low : high + reach], np.zeros(reach + 8, np.uint8)])
+            eight = _words8(some)
+            chars = before + np.r_[0, np.cumsum((some[: high - low] & 0xC0) != 0x80)]
+            begin = slice(*np.searchsorted(offsets, [low, high]))
+            first[begin] = chars[offsets[begin] - low]
+            before = chars[-1]
+            lengths = np.zeros(high - low, np.uint64)
+            for k, bits in enumerate(words.heads, 1):
+                if bits.any():
+                    lengths |= bits[_head(eight[: high - low], k)]
+            places = np.flatnonzero(lengths)
+            lengths = lengths[places]
+            text = np.searchsorted(offsets, places + low, "right") - 1
+            room = offsets[text + 1] - low - places
+            for i, n in enumerate(words.lengths):
+                here = np.flatnonzero((lengths & np.uint64(1 << i % 64) != 0) & (room >= n))
+                h = _hash(eight, places[here], n)
+                of = words.of[i]
+                here = here[of[np.minimum(np.searchsorted(of, h), len(of) - 1)] == h]
+                if len(here) == 0:
+                    continue
+                at, rows = places[here], text[here]
+                pieces = some[at[:, None] + np.arange(n)]
+                ends = np.arange(0, (len(at) + 1) * n, n, dtype=np.int32)
+                found = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(pieces.reshape(-1))])
+                position = pa.array(chars[at] - first[rows] + 1)
+                rows = pa.array(rows)
+                yield pa.RecordBatch.from_arrays([*(c.take(rows) for c in ids), position, found], names=names)
+
+
 def _head_length(words: DataFrame, most_heads: int) -> int | None:
     """The longest head of which a dictionary too large to broadcast has few enough, if any."""
     for n in HEADS:

@@ -137,6 +137,26 @@ def test_dictionary_against_brute_force(spark, settings, seed, path):
         )
 
 
+def test_short_words_take_no_row_per_place(spark):
+    """Texts over several slices, cut inside characters and words, and more lengths of words than bits."""
+    pick = random.Random(4)
+    long_text = "".join(pick.choices(["a", "纸", "é😀", "bb", " word "], k=250_000))
+    texts = [(1, None), (2, ""), (None, "xa"), (4, long_text), (5, "b" * 90), (5, "b" * 90), (6, "wor"), (7, "d 纸")]
+    words = ["a", "é", "纸a", "😀纸é", "word", "word a", *("b" * n for n in range(1, 65)), *("😀" * n for n in range(10, 65)), "纸" * 30]
+    frame = spark.createDataFrame(texts, "id bigint, text string").repartition(2)
+    found = split_words_dict(frame, "text", words_frame(spark, [*words, "", None, "a"]), keep=["id"])
+    assert "Generate" not in plan_of(found) and "BroadcastHashJoin" in plan_of(found)
+    none = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    assert sorted(map(tuple, found.collect()), key=none) == sorted(
+        ((key, at + 1, w) for key, text in texts for at in range(len(text or "")) for w in words if text.startswith(w, at)), key=none
+    )
+
+
+def test_kept_columns_of_any_type(spark):
+    texts = spark.createDataFrame([(1, "ab")], "id int, text string").selectExpr("map(id, text) AS m", "array(id) AS l", "cast(id AS decimal(20, 2)) AS d", "text")
+    assert split_words_dict(texts, "text", words_frame(spark, ["b"]), keep=["m", "l", "d"]).first() == ({1: "ab"}, [1], 1, 2, "b")
+
+
 def test_empty_dictionary(spark, texts):
     assert split_words_dict(texts, "text", words_frame(spark, []), keep=["id"]).count() == 0
 
