@@ -129,6 +129,14 @@ def test_pages_that_name_their_article_are_compared_too(spark):
     assert {r.page_id: r.text for r in main_text.main_texts(frame).collect()} == plain(rows)
 
 
+def test_own_lines_beside_a_named_article_stay(spark):
+    page = "<div>Home</div><main><p>{0} intro</p><article><p>{0} own text of the article</p><p>a quote</p></article><p>{0} after</p></main><nav>{0}</nav><div>Rights</div>"
+    pages = [f"https://one.example/{i}" for i in range(4)]
+    frame = spark.createDataFrame([(i, url, page.format(i)) for i, url in enumerate(pages)], "page_id bigint, url string, html string")
+    found = {r.page_id: r.text for r in main_text.main_texts(frame).collect()}
+    assert found == {i: f"{i} intro\n\n{i} own text of the article\n\na quote\n\n{i} after" for i in range(4)}
+
+
 def test_equal_lines_in_other_places_are_other_pages(spark):
     pages = [(f"https://one.example/{i}", f"<div>Home</div><div>{i} own text</div><div>Rights</div>") for i in (1, 3)]
     pages += [(f"https://one.example/{i}", "<div>Home</div><{0}>4 own text</{0}><div>Rights</div>".format(e)) for i, e in ((40, "article"), (41, "nav"))]
