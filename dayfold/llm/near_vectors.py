@@ -3,7 +3,8 @@
 Vectors of equal direction are one point. Points are dealt into groups near common pivots; a tree of nested levels with
 halving radii is built over each group, and pairs of groups are traversed together: a pair of nodes whose centres are
 farther apart than both covering radii and the threshold's distance together holds no link and is pruned. So are pairs
-of whole groups, by their cells' radii and by their distances to all pivots, before a group is copied anywhere.
+of whole groups, by their cells' radii and by their distances to all pivots, before a group is read. Groups are written
+once; the task of a pair reads both from there, so that disk grows with the vectors and not with the pairs of groups.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayfold.llm.common import components, merged, ranges, stored
+from dayfold.session import fresh_folder
 
 #: Points of one group at most; two groups meet in a task.
 GROUP_POINTS = 4096
@@ -23,6 +25,10 @@ RADII = (0.5, 0.25, 0.125)
 SLACK = 1e-9
 #: Distances near zero are roots of differences of about 1e-16.
 ROOT_SLACK = 1e-7
+#: Error of a product of unit vectors in single precision, which only decides what is measured in double.
+ROUGH = 1e-4
+#: Groups on either side of a block of pairs, which one task joins.
+BLOCK = 4
 
 
 def cover_tree(points: np.ndarray) -> list[dict[str, np.ndarray]]:
@@ -71,6 +77,12 @@ def _pairs(a: np.ndarray, b: np.ndarray, of_a, of_b) -> tuple[np.ndarray, np.nda
     return np.repeat(left, size_b[b[rep]]), right
 
 
+def _dots(x: np.ndarray, a: np.ndarray, y: np.ndarray, b: np.ndarray, step: int = 1 << 16) -> np.ndarray:
+    """x[a] . y[b], row by row, a portion at a time."""
+    parts = [np.einsum("ij,ij->i", x[a[at : at + step]], y[b[at : at + step]]) for at in range(0, len(a), step)]
+    return np.concatenate([np.zeros(0), *parts])
+
+
 def near_pairs(x: np.ndarray, tree_x: list, y: np.ndarray, tree_y: list, cosine: float, step: int = 1 << 21):
     """Index pairs (i, j) with x[i] . y[j] >= ``cosine``, in portions; every such pair exactly once."""
     far = np.sqrt(2 - 2 * cosine)
@@ -82,11 +94,11 @@ def near_pairs(x: np.ndarray, tree_x: list, y: np.ndarray, tree_y: list, cosine:
 
     def prune(a, b, k):
         if k == depth:
-            keep = np.einsum("ij,ij->i", x[a], y[b]) >= cosine
+            keep = _dots(x, a, y, b) >= cosine
         else:
             nx, ny = tree_x[k], tree_y[k]
             bound = np.minimum(2.0, nx["radius"][a] + ny["radius"][b] + far + SLACK)
-            keep = np.einsum("ij,ij->i", x[nx["centre"][a]], y[ny["centre"][b]]) >= 1 - bound * bound / 2 - SLACK
+            keep = _dots(x, nx["centre"][a], y, ny["centre"][b]) >= 1 - bound * bound / 2 - SLACK
         return a[keep], b[keep]
 
     def below(a, b, k):
@@ -103,16 +115,18 @@ def near_pairs(x: np.ndarray, tree_x: list, y: np.ndarray, tree_y: list, cosine:
             yield from below(*prune(*_pairs(a[first:last], b[first:last], of_a, of_b), k + 1), k + 1)
             first = last
 
-    # the top level by matrix products, a few rows at a time
+    # the top level by matrix products in single precision, a few rows at a time; what they leave open is measured
     nx, ny = tree_x[0], tree_y[0]
     if not len(nx["centre"]) or not len(ny["centre"]):
         return
+    widest, single = ny["radius"].max(), y[ny["centre"]].astype(np.float32).T
     rows = max(1, step // len(ny["centre"]))
     for at in range(0, len(nx["centre"]), rows):
-        dots = x[nx["centre"][at : at + rows]] @ y[ny["centre"]].T
-        bound = np.minimum(2.0, nx["radius"][at : at + rows, None] + ny["radius"][None, :] + far + SLACK)
-        a, b = np.nonzero(dots >= 1 - bound * bound / 2 - SLACK)
-        yield from below(a + at, b, 0)
+        dots = x[nx["centre"][at : at + rows]].astype(np.float32) @ single
+        bound = np.minimum(2.0, nx["radius"][at : at + rows] + widest + far + SLACK)
+        least = (1 - bound * bound / 2 - SLACK - ROUGH).astype(np.float32)
+        a, b = np.nonzero(dots >= least[:, None])
+        yield from below(*prune(a + at, b, 0), 0)
 
 
 def _valid(vector):
@@ -124,11 +138,25 @@ def _valid(vector):
 
 def _units(column, size: int) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    x = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), size)
+    return _normal(flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), size))
+
+
+def _normal(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True, initial=1e-300)
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
+def _number(vectors: DataFrame, name: str) -> str:
+    """The type that holds the numbers of the array ``name`` wholly, as far as double does."""
+    return "float" if vectors.schema[name].dataType.simpleString() == "array<float>" else "double"
+
+
+def _names(vector) -> list:
+    """128 bits that tell vectors apart, as two columns, so that joins need not shuffle the vectors."""
+    return [F.xxhash64(vector).alias("name_1"), F.xxhash64(F.lit(1), vector).alias("name_2")]
+
+
 def pivots_of(points: DataFrame, count: int) -> np.ndarray:
     """At most ``count`` points far from each other, out of a sample of 32 times as many chosen by hash."""
     sample = [r[0] for r in points.orderBy(F.xxhash64("vector"), "rep").select("vector").limit(32 * count).collect()]
@@ -157,11 +185,14 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, group_points: int =
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
-    usable = rows.where(_valid(F.col("embedding"))).select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("vector"))
+    kind = _number(rows, "embedding")
+    # adding zero makes one of the two zeros
+    vector = F.when(_valid(F.col("embedding")), F.transform("embedding", lambda v: v.cast(kind) + F.lit(0).cast(kind)))
+    usable = rows.select("vec_id", vector.alias("vector")).where("vector is not null")
     points = usable.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    points = stored(points.select("vector", F.coalesce("rep", F.pmod(F.xxhash64("vector"), F.lit(1 << 61)) + F.lit(NAMELESS)).alias("rep"), "copies", F.size("vector").alias("size")), "points")
-    sizes = [r[0] for r in points.select("size").distinct().collect()]  # as many as the table has vector lengths
-    found = [_links(points.where(F.col("size") == s), s, cosine, group_points) for s in sizes]
+    points = stored(points.select("vector", F.coalesce("rep", F.pmod(F.xxhash64("vector"), F.lit(1 << 61)) + F.lit(NAMELESS)).alias("rep"), "copies"), "points")
+    sizes = [r[0] for r in points.select(F.size("vector")).distinct().collect()]  # as many as the table has vector lengths
+    found = [_links(points.where(F.size("vector") == s), s, cosine, group_points) for s in sizes]
     if not found:
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     counts, links = found[0]
@@ -169,16 +200,34 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, group_points: int =
         counts, links = counts.union(more), links.union(others)
     groups = components(links)
     counts = counts.groupBy(F.col("rep").alias("_counted")).agg(F.sum("n").alias("n"))
-    summed = points.join(counts, F.col("rep") == F.col("_counted"), "left").join(groups, F.col("rep") == groups["id"], "left")
-    summed = summed.select(F.col("vector").alias("_vector"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce(groups["component_id"], "rep").alias("_group"))
-    key = F.when(_valid(F.col("embedding")), F.transform("embedding", lambda v: v.cast("double")))
-    out = rows.select("vec_id", key.alias("_key")).join(summed, F.col("_key") == F.col("_vector"), "left")
+    named = points.select(*_names(F.col("vector")), "rep", "copies")
+    summed = named.join(counts, F.col("rep") == F.col("_counted"), "left").join(groups, F.col("rep") == groups["id"], "left")
+    summed = summed.select("name_1", "name_2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce(groups["component_id"], "rep").alias("_group"))
+    named = rows.select("vec_id", vector.alias("vector"))
+    named = named.select("vec_id", *[F.when(F.col("vector").isNotNull(), n).alias(f"_{i}") for i, n in enumerate(_names(F.col("vector")))])
+    out = named.join(summed, (F.col("_0") == F.col("name_1")) & (F.col("_1") == F.col("name_2")), "left")
     group = F.coalesce("_group", "vec_id")
     group = F.when(group < NAMELESS, group)
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), group.alias("component_id"), F.coalesce(group == F.col("vec_id"), group.isNull()).alias("kept"))
 
 
-_TREE_SQL = "part int, n bigint, reps binary, copies binary, points binary, tree binary, nearest array<double>, farthest array<double>"
+_TREE_SQL = "part int, n bigint, reps binary, copies binary, points binary, tree binary, nearest array<double>, farthest array<double>, cells array<int>, aways array<double>"
+
+
+def _read_group(folder: str, part: int, size: int, kind: str) -> tuple:
+    """Unit vectors, tree, reps and copies of a written group."""
+    import pickle
+
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    uri = folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and not folder.startswith("file://") else folder
+    system, name = fs.FileSystem.from_uri(f"{uri}/part={part}")
+    path = next(f.path for f in system.get_file_info(fs.FileSelector(name)) if f.base_name.startswith("part-"))
+    with system.open_input_file(path) as file:
+        row = pq.ParquetFile(file).read(columns=["n", "points", "tree", "reps", "copies"]).to_pylist()[0]
+    x = _normal(np.frombuffer(row["points"], kind).reshape(row["n"], size))
+    return x, pickle.loads(row["tree"]), np.frombuffer(row["reps"], np.int64), np.frombuffer(row["copies"], np.int64)
 
 
 def _apart(dots: np.ndarray) -> np.ndarray:
@@ -219,9 +268,11 @@ def _links(points: DataFrame, size: int, cosine: float, group_points: int) -> tu
                 dots = _units(batch.column(0), size) @ shared.value.T
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(dots.argmax(axis=1).astype(np.int32)), pa.array(_apart(dots.max(axis=1)))], [*batch.schema.names, "cell", "away"])
 
-    celled = stored(points.select("vector", "rep", "copies").mapInArrow(assign, "vector array<double>, rep bigint, copies bigint, cell int, away double"), "cells")
+    kind = _number(points, "vector")
+    schema = f"vector array<{kind}>, rep bigint, copies bigint, cell int, away double"
+    celled = points.select("vector", "rep", "copies").mapInArrow(assign, schema)
     # cells fill groups of about group_points: small cells share one, and large ones are dealt over several
-    cells = celled.groupBy("cell").agg(F.count("*"), F.max("away")).collect()  # PIVOTS rows
+    cells = celled.groupBy("cell").count().collect()  # PIVOTS rows
     held = {r[0]: r[1] for r in cells}
     first, filled, plan = 0, 0, {}
     for cell in sorted(held):
@@ -234,37 +285,45 @@ def _links(points: DataFrame, size: int, cosine: float, group_points: int) -> tu
             first, filled = first + spread, 0
     start = F.element_at(F.create_map(*[F.lit(x) for c in plan for x in (c, plan[c][0])]), F.col("cell"))
     spread = F.element_at(F.create_map(*[F.lit(x) for c in plan for x in (c, plan[c][1])]), F.col("cell"))
-    groups = celled.withColumn("part", (start + F.pmod(F.xxhash64("rep"), spread)).cast("int"))
+    # vectors are dealt anew here; one that two pivots are as near to may fall to a cell that was empty before
+    part = F.coalesce(start + F.pmod(F.xxhash64("rep"), spread), F.lit(0)).cast("int")
+    groups = celled.withColumn("part", part)
 
     def build(key, table):
         x = _units(table.column("vector"), size)
-        tree = pickle.dumps(cover_tree(x))
+        tree = [{k: v.astype(np.int32) if v.dtype == np.int64 else v for k, v in level.items()} for level in cover_tree(x)]
         apart = _apart(x @ shared.value.T)
+        own = table.group_by("cell").aggregate([("away", "max")])
         yield pa.RecordBatch.from_pydict(
             {
                 "part": pa.array([key[0].as_py()], pa.int32()),
                 "n": [len(x)],
                 "reps": [table.column("rep").to_numpy().tobytes()],
                 "copies": [table.column("copies").to_numpy().tobytes()],
-                "points": [x.tobytes()],
-                "tree": [tree],
+                "points": [table.column("vector").combine_chunks().flatten().to_numpy().tobytes()],
+                "tree": [pickle.dumps(tree)],
                 "nearest": [apart.min(axis=0).tolist()],
                 "farthest": [apart.max(axis=0).tolist()],
+                "cells": pa.array([own.column("cell").to_pylist()], pa.list_(pa.int32())),
+                "aways": [own.column("away_max").to_pylist()],
             }
         )
 
-    trees = stored(groups.groupBy("part").applyInArrow(lambda key, table: pa.Table.from_batches(build(key, table)), _TREE_SQL), "trees")
-    met = open_pairs(trees, groups.select("part", "cell").distinct(), open_cells(pivots, {r[0]: r[2] for r in cells}, cosine), cosine)
-    # a group goes to the tasks of its open pairs only
-    met = met.select("low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("part")).join(trees.drop("nearest", "farthest"), "part")
-
-    def join(key, table):
-        sides = table.to_pylist()
-        a = next(s for s in sides if s["part"] == key[0].as_py())
-        b = next(s for s in sides if s["part"] == key[1].as_py())
-        one = a["part"] == b["part"]
-        read = lambda s: (np.frombuffer(s["points"]).reshape(s["n"], size), pickle.loads(s["tree"]), np.frombuffer(s["reps"], np.int64), np.frombuffer(s["copies"], np.int64))
-        (x, tx, rx, cx), (y, ty, ry, cy) = read(a), read(b)
+    trees = groups.groupBy("part").applyInArrow(lambda key, table: pa.Table.from_batches(build(key, table)), _TREE_SQL)
+    folder = fresh_folder(points.sparkSession, "trees")
+    trees.write.partitionBy("part").parquet(folder, compression="zstd")
+    trees = points.sparkSession.read.schema(_TREE_SQL).parquet(folder)
+    cells_of = trees.select("part", F.explode(F.arrays_zip("cells", "aways")).alias("of")).select("part", F.col("of.cells").alias("cell"), F.col("of.aways").alias("away"))
+    radius = {r[0]: r[1] for r in cells_of.groupBy("cell").agg(F.max("away")).collect()}  # PIVOTS rows
+    met = open_pairs(trees, cells_of.select("part", "cell"), open_cells(pivots, radius, cosine), cosine)
+    # a block of pairs goes to one task, which reads each group of it once
+    block = [F.floor(F.col(c) / BLOCK).cast("int").alias(f"{c}_block") for c in ("low", "high")]
+    met = stored(met.select("low", "high", *block), "open-pairs")
+    blocks = met.select("low_block", "high_block").distinct().count()
+    tasks = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(4 * blocks, 10_000))
+    met = met.repartition(tasks, "low_block", "high_block").sortWithinPartitions("low_block", "high_block", "low", "high")
+
+    def linked(one: bool, x, tx, rx, cx, y, ty, ry, cy) -> pa.RecordBatch:
         nx, label = np.zeros(len(x), np.int64), np.arange(len(x) + (0 if one else len(y)))
         ny = nx if one else np.zeros(len(y), np.int64)
         for i, j in near_pairs(x, tx, y, ty, cosine):
@@ -275,8 +334,21 @@ def _links(points: DataFrame, size: int, cosine: float, group_points: int) -> tu
             u, v = label[i], label[j if one else j + len(x)]
             label = merged(u, v, len(label))[label]
         reps, n = (rx, nx) if one else (np.r_[rx, ry], np.r_[nx, ny])
-        out = pa.table({"rep": pa.array(reps), "n": pa.array(n), "a": pa.array(reps[label])})
+        out = pa.RecordBatch.from_pydict({"rep": pa.array(reps), "n": pa.array(n), "a": pa.array(reps[label])})
         return out.filter(pa.array(n > 0))
 
-    made = stored(met.groupBy("low", "high").applyInArrow(join, "rep bigint, n bigint, a bigint"), "vector-links")
+    def join(batches):
+        held: dict[int, tuple] = {}
+
+        def group(part: int) -> tuple:
+            held[part] = held.pop(part, None) or _read_group(folder, part, size, f"<f{4 if kind == 'float' else 8}")
+            if len(held) > 2 * BLOCK:
+                held.pop(next(iter(held)))
+            return held[part]
+
+        for batch in batches:
+            for low, high in zip(batch.column("low").to_pylist(), batch.column("high").to_pylist(), strict=True):
+                yield linked(low == high, *group(low), *group(high))
+
+    made = stored(met.select("low", "high").mapInArrow(join, "rep bigint, n bigint, a bigint"), "vector-links")
     return made.select("rep", "n"), made.where("rep <> a").select("a", F.col("rep").alias("b"))

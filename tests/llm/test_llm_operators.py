@@ -9,7 +9,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import rows_of
+from conftest import plan_of, rows_of
 
 from dayfold.llm import bpe, chat, decontaminate, near_vectors, quality, repeats, token_counts, warc
 from dayfold.llm.queries import tokenizer_file
@@ -323,6 +323,19 @@ def test_far_groups_do_not_meet(spark, monkeypatch):
     assert groups >= 35 and pairs < 3 * groups
 
 
+def test_pairs_of_groups_move_no_vectors(spark, monkeypatch):
+    """Groups in all directions, so that all pairs meet: vectors are written once, and only numbers of groups are dealt."""
+    r, plans, whole = np.random.RandomState(5), {}, near_vectors.stored
+    monkeypatch.setattr(near_vectors, "stored", lambda df, purpose, *a: plans.update({purpose: plan_of(df)}) or whole(df, purpose, *a))
+    vectors = {i: r.randn(16).astype(np.float32).tolist() for i in range(1, 401)}
+    vectors |= {i + 400: (np.array(vectors[i]) + r.randn(16) * 0.05).astype(np.float32).tolist() for i in range(1, 101)}
+    frame = spark.createDataFrame(list(vectors.items()), "vec_id bigint, embedding array<float>")
+    found = near_vectors.near_duplicates(frame, group_points=40).collect()
+    assert {x.vec_id: (x.n_links, x.component_id) for x in found} == plain_near(vectors)
+    assert sum(x.n_links for x in found) >= 150
+    assert "low" in plans["vector-links"] and "points" not in plans["vector-links"]
+
+
 def test_merges_that_find_nothing():
     """``b bbb`` never stands in a word, as ``bb`` comes first, so no token comes of it or of what is made with it."""
     own = bpe.Automaton([("b", "b"), ("b", "bb"), ("b", "bbb"), ("bbb", "a")])
