@@ -5,7 +5,8 @@
    none there, directly or in a chain, lie in different regions and never meet.
 2. A region of bounded size is joined in one task. In a larger one, pivots are taken and every set's distances to them are
    measured: a set falls to the cell of its nearest pivot (Voronoi), and is copied to every cell that the triangle
-   inequality leaves open within the threshold.
+   inequality leaves open within the threshold. There it meets the sets that share a shingle of both prefixes, if what
+   follows it in either is enough for the threshold: the first shingle that a pair shares has all others behind it.
 3. Within a region, whatever is linked with a pivot is connected at once. Only sets outside the region's largest group
    still have to meet others, and of those only the ones whose distances to the pivots differ by no more than the
    threshold: the next pivot is taken among them, until no set outside the largest group is left.
@@ -277,10 +278,11 @@ def _overlap_links(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _large_links(big: DataFrame, percent: int) -> DataFrame:
-    """Links that connect the groups of regions too large for one task; ``big`` (region, class, shingles), stored."""
-    # as many pivots for each region as there are slots, the first set of each slot by hash
+    """Links that connect the groups of regions too large for one task; ``big`` (region, class, shingles, prefix), stored."""
+    # as many pivots for each region as there are slots, of each slot the set with the least share of shingles that no other
+    # has: many sets are near to it
     slot = F.pmod(F.xxhash64("class", F.lit("slot")), F.lit(PIVOTS)).cast("int")
-    pivots = big.groupBy("region", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("class").alias("hash"), "class")).alias("first"))
+    pivots = big.groupBy("region", slot.alias("slot")).agg(F.min(F.struct((_lone(percent) / F.size("shingles")).alias("lone"), F.xxhash64("class").alias("hash"), "class")).alias("first"))
     pivots = pivots.select(F.col("region").alias("p_region"), "slot", F.col("first.class").alias("pivot"))
     sets = big.select(F.col("region").alias("s_region"), F.col("class").alias("s_class"), F.col("shingles").alias("p_shingles"))
     pivots = stored(pivots.join(sets, (F.col("p_region") == F.col("s_region")) & (F.col("pivot") == F.col("s_class"))).select("p_region", "slot", "pivot", "p_shingles"), "pivots")
@@ -297,17 +299,37 @@ def _large_links(big: DataFrame, percent: int) -> DataFrame:
     placed = stored(placed, "placed")
     size = placed.groupBy("region", "group").count().groupBy("region").agg(F.max_by("group", F.struct("count", "group")).alias("largest"))
     outside = placed.join(size, "region").where((F.col("group") != F.col("largest")) & ~F.col("is_pivot"))
-    # a set belongs to the cell of its nearest pivot; one outside the largest group is copied to all cells in reach
+    # a set belongs to the cell of its nearest pivot; one outside the largest group meets those of all cells in reach
     nearest = F.array_min("to")
-    full = big.select(F.col("class").alias("_class"), "shingles")
-    cells = placed.select("region", F.col("class").alias("b"), F.col("to").alias("to_b"), F.array_position("to", nearest).cast("int").alias("cell")).join(full, F.col("b") == F.col("_class"))
-    cells = cells.select("region", "cell", "b", "to_b", F.col("shingles").alias("y"))
+    heads = stored(_heads(big, percent), "prefixes")
+    cell = placed.select(F.col("class").alias("_class"), F.array_position("to", nearest).cast("int").alias("cell"))
+    cells = heads.join(cell, F.col("class") == F.col("_class")).select("shingle", "cell", F.col("class").alias("b"), F.col("size").alias("size_b"), F.col("left").alias("left_b"))
     reach = F.explode(F.filter(F.sequence(F.lit(1), F.size("to")), lambda i: F.get("to", i - 1) <= nearest + 2 * limit))
-    copies = outside.select("region", F.col("class").alias("a"), F.col("to").alias("to_a"), reach.alias("cell")).join(full, F.col("a") == F.col("_class"))
-    copies = copies.select("region", "cell", "a", "to_a", F.col("shingles").alias("x"))
+    reached = outside.select(F.col("class").alias("_class"), reach.alias("cell"))
+    least = heads.groupBy("shingle").agg(F.min("size").alias("least"), F.count("*").alias("n")).where("n > 1").select(F.col("shingle").alias("_shingle"), "least")
+    able = lambda left, one, other: left * (100 + percent) >= (one + other) * percent
+    asking = heads.join(least, F.col("shingle") == F.col("_shingle")).where(able(F.col("left"), F.col("size"), F.col("least")))
+    copies = asking.select("shingle", "class", "size", "left").join(reached, F.col("class") == F.col("_class"))
+    copies = copies.select("shingle", "cell", F.col("class").alias("a"), F.col("size").alias("size_a"), F.col("left").alias("left_a"))
+    met = copies.join(cells, ["shingle", "cell"]).where((F.col("a") != F.col("b")) & able(F.least("left_a", "left_b"), F.col("size_a"), F.col("size_b")))
+    met = stored(met.select("a", "b").distinct(), "met-sets")
+    side = lambda mark: placed.select(F.col("class").alias(mark), F.col("to").alias(f"to_{mark}"), F.col("group").alias(f"group_{mark}"))
     window = F.forall(F.zip_with("to_a", "to_b", lambda p, q: F.abs(p - q) <= limit), lambda x: x)
-    met = copies.join(cells, ["region", "cell"]).where((F.col("a") != F.col("b")) & window)
-    return links.union(_overlap_links(met, percent))
+    met = met.join(side("a"), "a").join(side("b"), "b").where((F.col("group_a") != F.col("group_b")) & window).select("a", "b")
+    full = lambda mark, name: big.select(F.col("class").alias(mark), F.col("shingles").alias(name))
+    return links.union(_overlap_links(met.join(full("a", "x"), "a").join(full("b", "y"), "b"), percent))
+
+
+def _lone(percent: int):
+    """Of a set (shingles, prefix), the shingles that no other set has; they stand first and are left out of the prefix."""
+    return F.expr(f"size(shingles) - ({percent} * size(shingles) + 99) div 100 + 1 - size(prefix)").cast("int")
+
+
+def _heads(sets: DataFrame, percent: int) -> DataFrame:
+    """(shingle, class, size, left) of the prefixes of ``sets`` (class, shingles, prefix): ``left`` is the number of the
+    set's shingles from this one on, in the order of rising counts."""
+    rows = sets.select("class", F.size("shingles").alias("size"), _lone(percent).alias("lone"), F.posexplode("prefix").alias("at", "shingle"))
+    return rows.select("shingle", "class", "size", (F.col("size") - F.col("lone") - F.col("at")).alias("left"))
 
 
 def near_documents(docs: DataFrame, words: int = WORDS, percent: int = 75) -> DataFrame:
@@ -330,11 +352,11 @@ def near_documents(docs: DataFrame, words: int = WORDS, percent: int = 75) -> Da
     heads = open_sets.select("class", F.explode("prefix").alias("shingle"))
     first = heads.groupBy("shingle").agg(F.min("class").alias("first"), F.max("class").alias("last")).where("first <> last").select("shingle", "first")
     region = components(heads.join(first, "shingle").where("class <> first").select(F.col("class").alias("a"), F.col("first").alias("b")).distinct())
-    placed = open_sets.select("class", "shingles").join(region, F.col("class") == region["id"]).select(F.col("component_id").alias("region"), "class", "shingles")
+    placed = open_sets.join(region, F.col("class") == region["id"]).select(F.col("component_id").alias("region"), "class", "shingles", "prefix")
     placed = stored(placed, "regions")
     sizes = placed.groupBy("region").agg(F.count("*").alias("sets"), F.sum(F.size("shingles")).alias("all"))
     large = stored(sizes.where((F.col("sets") > REGION_SETS) | (F.col("all") > REGION_SHINGLES)).select(F.col("region").alias("large")), "large-regions")
-    small = placed.join(large, F.col("region") == F.col("large"), "left_anti")
+    small = placed.drop("prefix").join(large, F.col("region") == F.col("large"), "left_anti")
     # about REGION_SHINGLES in a group of regions
     total = sizes.join(large, F.col("region") == F.col("large"), "left_anti").agg(F.sum("all")).first()[0] or 0
     groups = max(tasks, -(-total // REGION_SHINGLES)) * 4

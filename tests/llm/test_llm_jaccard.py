@@ -60,6 +60,25 @@ def test_equals_all_pairs(spark, monkeypatch, limit):
     assert {r.doc_id: r.n_shingles for r in rows} == {i: len(shingles(t)) for i, t in texts.items()}
 
 
+def test_far_copies_of_a_large_region_do_not_meet(spark, monkeypatch):
+    """Sets that share most of one base, but not enough with any other: their pairs are not compared one by one."""
+    r, met, whole = random.Random(8), [], jaccard._overlap_links
+    monkeypatch.setattr(jaccard, "REGION_SETS", 20)
+    monkeypatch.setattr(jaccard, "_overlap_links", lambda pairs, *a: met.append(pairs.count()) or whole(pairs, *a))
+    base = [f"w{i}" for i in range(104)]
+    texts = {}
+    for i in range(1, 101):
+        copy = list(base)
+        for at in r.sample(range(7, 97, 6), 4 if i % 5 else 1):
+            copy[at] = f"x{i}-{at}"
+        texts[i] = " ".join(copy)
+    # two that are near each other, but not near the base
+    texts[101] = texts[4].replace("w101", "y")
+    found = jaccard.near_documents(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()
+    assert {x.doc_id: x.component_id for x in found} == plain_components(texts)
+    assert len({x.component_id for x in found}) == 81 and len(met) == 1 and met[0] < len(texts)
+
+
 def test_null_and_repeated_ids(spark):
     docs = spark.createDataFrame([(None, "a b c d e f"), (7, "a b c d e f"), (7, "a b c d e f"), (None, None)], "doc_id bigint, text string")
     rows = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in jaccard.near_documents(docs).collect())
